@@ -1,9 +1,12 @@
 """The text operators' queries, one for each operator, and their SQL where SQL can express them."""
 
-from . import decontamination, mixing, quality, sharding, urls
+from . import decontamination, licenses, lines, mixing, pii, quality, sharding, urls
 
 QUERIES = {
+    "op1_licenses": licenses.op1_licenses,
+    "op2_pii": pii.op2_pii,
     "op3_sharding": sharding.op3_sharding,
+    "op4_line_dedup": lines.op4_line_dedup,
     "op5_mixing": mixing.op5_mixing,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_url_filter": urls.op7_url_filter,
