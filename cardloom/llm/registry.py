@@ -1,6 +1,6 @@
 """The text operators' queries, one for each operator, and their SQL where SQL can express them."""
 
-from . import decontamination, licenses, lines, mixing, pii, quality, sharding, urls
+from . import decontamination, licenses, lines, lm, mixing, ngram_join, pii, quality, sharding, urls
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -11,6 +11,8 @@ QUERIES = {
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_url_filter": urls.op7_url_filter,
     "op8_quality": quality.op8_quality,
+    "op9_lm_score": lm.op9_lm_score,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 SQL = {
     "op6_decontamination": decontamination.OP6_SQL,
