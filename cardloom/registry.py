@@ -1,4 +1,6 @@
 """The library's queries over the driver's tables, and their SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from .plans.oracles import SQL
+from .plans.queries import QUERIES
+
+__all__ = ["QUERIES", "SQL"]
