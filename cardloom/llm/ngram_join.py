@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,41 +14,45 @@ from .common import cut, table
 WORDS, SHARE = 5, 75
 #: The frequent shingles that the order puts last: at most so many, from counts within chunks of CHUNK shingles.
 FREQUENT, CHUNK, LEAST_IN_CHUNK = 50_000, 1 << 20, 4
-PIVOT_ROUNDS = 6
+#: A shingle of up to FEW texts has all its pairs looked at; the texts of others meet pivots first, in so many rounds.
+FEW, PIVOT_ROUNDS = 6, 5
+RANGES, SHIFT = 256, 56
 A, B, ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(31)
 
 
+class Known(dict):
+    """Words' 8-byte hashes."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        h = self[word] = xxhash.xxh3_64_digest(word)
+        return h
+
+
 class Shingler:
     """Sorted distinct 64-bit shingle hashes of a text; words' hashes are remembered up to a bound."""
 
     def __init__(self, k: int = WORDS, most: int = 500_000):
-        self.k, self.most, self.known = k, most, {}
-
-    def words(self, text: bytes | None) -> list[bytes]:
-        return text.lower().split() if text else []
+        self.k, self.most, self.known = k, most, Known()
 
     def shingles(self, text: bytes | None) -> np.ndarray:
-        w = self.words(text)
+        w = text.lower().split() if text else []
         if not w:
             return np.empty(0, np.int64)
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        hashes = []
-        for x in w:
-            h = known.get(x)
-            if h is None:
-                h = known[x] = xxhash.xxh3_64_intdigest(x)
-            hashes.append(h)
-        a = np.array(hashes, np.uint64)
+        if len(self.known) > self.most:
+            self.known.clear()
+        a = np.frombuffer(b"".join(map(self.known.__getitem__, w)), np.uint64)
         k = min(self.k, len(w))
         n = len(a) - k + 1
         h = np.full(n, k, np.uint64)
         for j in range(k):
-            h = (h ^ a[j : j + n]) * A
+            h ^= a[j : j + n]
+            h *= A
             h ^= h >> ONE
-            h *= B
-        return np.unique(h.view(np.int64))
+        h *= B
+        h ^= h >> ONE
+        h = h.view(np.int64)
+        h.sort()
+        return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
 def required(n: Column, m: Column, share: int) -> Column:
@@ -82,14 +87,14 @@ def frequent(docs: DataFrame, k: int) -> dict[int, int]:
 
 
 def prefixes(docs: DataFrame, order: dict[int, int], k: int, share: int) -> DataFrame:
-    """For each row: __rid, doc_id, node (its text's hash), n (set size), prefix (its first shingles, rare first), light (how many of those aren't frequent)."""
+    """For each row: __rid, doc_id, node (its text's hash), n (set size), prefix (its first shingles, rare first), light (how many of those aren't frequent), ranges (its shingles by range of hashes)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((np.array(sorted(order), np.int64), np.array([order[h] for h in sorted(order)], np.int64)))
 
     def run(batches):
         s, (hs, cs) = Shingler(k), shared.value
         for b in batches:
-            n, light, prefix = [], [], []
+            n, light, prefix, ranges = [], [], [], []
             for t in b.column("text").to_pylist():
                 x = s.shingles(t)
                 p = len(x) + 1 - -(-share * len(x) // 100) if len(x) else 0
@@ -101,41 +106,55 @@ def prefixes(docs: DataFrame, order: dict[int, int], k: int, share: int) -> Data
                 else:
                     first, ll = x[:p], p
                 n.append(len(x))
+                ranges.append(np.bincount((x >> SHIFT) + RANGES // 2, minlength=RANGES).astype(np.int32) if len(x) else np.zeros(RANGES, np.int32))
                 light.append(ll)
                 prefix.append(first)
-            yield pa.RecordBatch.from_arrays([b.column("__rid"), b.column("doc_id"), b.column("node"), pa.array(n, pa.int64()), pa.array(light, pa.int32()), pa.array(prefix, pa.list_(pa.int64()))], names=["__rid", "doc_id", "node", "n", "light", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column("__rid"), b.column("doc_id"), b.column("node"), pa.array(n, pa.int64()), pa.array(light, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int32()))], names=["__rid", "doc_id", "node", "n", "light", "prefix", "ranges"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("__rid", "doc_id", "node", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"__rid long, doc_id {kind}, node long, n long, light int, prefix array<long>")
+    return docs.select("__rid", "doc_id", "node", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"__rid long, doc_id {kind}, node long, n long, light int, prefix array<long>, ranges array<int>")
+
 
+def packed(docs: DataFrame) -> DataFrame:
+    """node, __rid, z: texts compressed before any of them is dealt."""
 
-def sets(texts: DataFrame, k: int) -> DataFrame:
     def run(batches):
-        s = Shingler(k)
+        c = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([s.shingles(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())], names=["node", "items"])
+            z = [c.compress(t or b"") for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("__rid"), pa.array(z, pa.binary())], names=["node", "__rid", "z"])
 
-    return texts.select("node", F.col("text").cast("binary").alias("text")).mapInArrow(run, "node long, items binary")
+    return docs.select("node", "__rid", F.col("text").cast("binary").alias("text")).mapInArrow(run, "node long, __rid long, z binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """Of distinct pairs (a, b) those that link. Suffix filter: counts over 64 ranges of the shingles bound the overlap before it is taken."""
+def verified(pairs: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
+    """Of distinct pairs (a, b) those that link, by the overlap of their whole sets."""
 
     def run(batches):
+        s, d = Shingler(k), zstandard.ZstdDecompressor()
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+            keep, last = [], (None, None)
+            for b, x, y in zip(batch.column("b").to_pylist(), batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                if last[0] != b:  # the join leaves rows of the same b together
+                    last = (b, s.shingles(d.decompress(y)))
+                x, y = s.shingles(d.decompress(x)), last[1]
                 need = -(-share * (len(x) + len(y)) // (100 + share))
-                edges = np.arange(-31, 32, dtype=np.int64) << 58
-                bound = np.minimum(np.diff(np.searchsorted(x, edges), prepend=0, append=len(x)), np.diff(np.searchsorted(y, edges), prepend=0, append=len(y))).sum()
-                keep.append(bool(bound >= need and len(np.intersect1d(x, y, assume_unique=True)) >= need))
+                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= need)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("x")), sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
+    left, right = texts.select(F.col("node").alias("a"), F.col("z").alias("x")), texts.select(F.col("node").alias("b"), F.col("z").alias("y"))
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def plausible(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
+    """Suffix filter: of pairs (a, b) those whose counts over RANGES ranges of shingle hashes allow the overlap that a link needs."""
+    one = sizes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("ranges").alias("ra"))
+    two = sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("ranges").alias("rb"))
+    both = pairs.join(one, "a").join(two, "b")
+    bound = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)), F.lit(0), lambda u, v: u + v)
+    return both.where(bound >= required(F.col("na"), F.col("nb"), share)).drop("na", "nb", "ra", "rb")
+
+
 def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     """labels(node, c) after links(a, b): components hook to their least neighbour, pointers jump, and the rest is contracted, until no link joins two."""
     on = lambda side: labels.select(F.col("node").alias(side), F.col("c").alias(f"c{side}"))
@@ -156,53 +175,84 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
 
     Two texts link when 100 * |A & B| >= share * |A | B| over their sets of distinct k-word shingles (64-bit hashes;
     A-Z lower-cased). Equal texts are one node and are never paired. Shingles are ordered rare first; two linked texts
-    share one within their prefixes. Of a shingle's texts one is the pivot; the others meet it in rounds, and a pair
-    already joined by links isn't looked at again. The last round takes all pairs of a shingle that are still in two
-    components, filters them by length and by position, and verifies each once: so no link between components is lost. No
-    cap: a shingle's texts are split over tasks by the join. Null and empty texts have no shingles and link with
+    share one within their prefixes. A shingle of up to FEW texts has all its pairs looked at. Of a more common one's
+    texts one is the pivot; the others meet it, in rounds with other pivots, and a pair already joined by links isn't
+    looked at again. The last round takes all pairs of a shingle that are still in two components. All pairs pass
+    the length, position and suffix filters first and are verified once: no link between components is lost. No cap:
+    a shingle's texts are split over tasks by the join. Null and empty texts have no shingles and link with
     nothing; null doc_ids are ignored as component ids unless there is no other; repeated rows share a component.
     """
     docs = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("__rid"), F.xxhash64("text").alias("node"))
     rows = cut(prefixes(docs, frequent(docs, k), k, share), "ngram-prefixes")
-    flat = rows.where("n > 0").select("node", "n", "light", F.posexplode("prefix").alias("pos", "s"))
+    flat = rows.where("n > 0").select("__rid", "light", F.posexplode("prefix").alias("pos", "s"))
     w = Window.partitionBy("s")
-    light = flat.where("pos < light").select("s", "node", "n", "pos").withColumns({"lo": F.min("node").over(w), "hi": F.max("node").over(w)}).where("lo <> hi").drop("lo", "hi")
-    heavy = flat.where("pos >= light").select("s", "node", "n", "pos")
-    shared = cut(light.union(heavy).groupBy("s", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "ngram-shared")
-    labels = cut(rows.where("n > 0").select("node").distinct().withColumn("c", F.col("node")), "ngram-labels")
-    reps = rows.groupBy("node").agg(F.min(F.struct("doc_id", "__rid")).alias("r")).join(shared.select("node").distinct(), "node", "left_semi").select("node", "r.__rid")
-    texts = docs.select("node", "__rid", "text").join(cut(reps, "ngram-reps"), ["node", "__rid"], "left_semi")
-    held = cut(sets(texts, k), "ngram-sets")
+    light = flat.where("pos < light").select("s", "__rid", "pos").withColumns({"lo": F.min("__rid").over(w), "hi": F.max("__rid").over(w)}).where("lo <> hi").drop("lo", "hi")
+    heavy = flat.where("pos >= light").select("s", "__rid", "pos")
+    met = cut(light.union(heavy), "ngram-met")
+    shared = cut(met.join(rows.select("__rid", "node", "n"), "__rid").groupBy("s", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "ngram-shared")
+    # shingles of one text and its copies go
+    held_by = cut(shared.groupBy("s").agg(F.count("*").alias("texts")).where("texts > 1"), "ngram-shingles")
+    shared = cut(shared.join(held_by, "s"), "ngram-shared")
+    nodes = cut(shared.select("node").distinct(), "ngram-nodes")
+    reps = cut(rows.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "__rid")).alias("r")).join(nodes, "node", "left_semi").select("node", "r.__rid"), "ngram-reps")
+    sizes = cut(rows.select("node", "__rid", "n", "ranges").join(reps, ["node", "__rid"], "left_semi").drop("__rid"), "ngram-sizes")
+    labels = nodes.withColumn("c", F.col("node"))
 
     def near(n, m, i, j):
         """Length and position: what can still be common after the places i and j."""
         need = required(n, m, share)
         return (F.least(n, m) * 100 >= F.greatest(n, m) * share) & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= need)
 
-    seen = None
-    for r in range(PIVOT_ROUNDS):
-        # shingles whose texts are in several components still
-        open_ = shared.join(labels, "node")
-        mixed = cut(open_.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("rank"), F.col("node"), F.col("n"), F.col("pos"), F.col("c"))).alias("p")).where("lo <> hi").select("s", "p"), "ngram-pivots")
+    def meeting(rows, apart):
+        """Pairs a < b of texts that share a shingle, with how many, each once."""
+        one, two = (rows.select("s", *[F.col(x).alias(f"{x}{i}") for x in ("node", "n", "pos", *apart)]) for i in (1, 2))
+        both = one.join(two, "s").where((F.col("node1") < F.col("node2")) & near(F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2")))
+        for x in apart:
+            both = both.where(F.col(f"{x}1") != F.col(f"{x}2"))
+        return both.groupBy(F.col("node1").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("k"))
+
+    def with_pivots(open_, r):
+        """Pairs of texts with their shingles' pivots, where the two lie in different components."""
+        pivot = F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("rank"), F.col("node"), F.col("n"), F.col("pos"), F.col("c")))
+        mixed = cut(open_.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), pivot.alias("p")).where("lo <> hi").select("s", "p"), "ngram-pivots")
         pairs = open_.join(mixed, "s").where((F.col("c") != F.col("p.c")) & near(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos")))
-        best = pairs.groupBy(F.col("node"), F.col("p.node").alias("to")).agg(F.count("*").alias("k")).groupBy("node").agg(F.max(F.struct("k", "to")).alias("b"))
-        asked = best.select(F.least("node", "b.to").alias("a"), F.greatest("node", "b.to").alias("b")).distinct()
-        asked = cut(asked.join(seen, ["a", "b"], "left_anti") if seen is not None else asked, "ngram-asked")
+        return pairs.groupBy(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).agg(F.count("*").alias("k"))
+
+    few, many = shared.where(F.col("texts") <= FEW), shared.where(F.col("texts") > FEW)
+    first = meeting(few, []).union(with_pivots(many.withColumn("c", F.col("node")), 0)).groupBy("a", "b").agg(F.sum("k").alias("k"))
+    first = cut(plausible(first, sizes, share), "ngram-pairs")
+    alive = cut(first.select("a").union(first.select("b")).union(many.select("node")).distinct().toDF("node"), "ngram-alive")
+    texts = cut(packed(docs).join(cut(reps.join(alive, "node", "left_semi"), "ngram-wanted"), ["node", "__rid"], "left_semi").drop("__rid"), "ngram-texts")
+    seen = None
+
+    def ask(labels, pairs, seen, best):
+        """Verify pairs that lie in two components and weren't asked before; of each text's pairs only the best, if so asked."""
+        side = lambda x: labels.select(F.col("node").alias(x), F.col("c").alias(f"c{x}"))
+        apart = pairs.join(side("a"), "a").join(side("b"), "b").where("ca <> cb").select("a", "b", "k")
+        if seen is not None:
+            apart = apart.join(seen, ["a", "b"], "left_anti")
+        if best:
+            top = apart.select(F.col("a").alias("x"), "a", "b", "k").union(apart.select(F.col("b"), "a", "b", "k")).groupBy("x").agg(F.max(F.struct("k", "a", "b")).alias("t"))
+            apart = top.select("t.a", "t.b", "t.k").distinct()
+        asked = cut(apart, "ngram-asked").select("a", "b")
         if asked.isEmpty():
-            break
-        seen = asked if seen is None else seen.union(asked)
-        links = cut(verified(asked, held, share), "ngram-links")
-        labels = merge(labels, links)
-    open_ = shared.join(labels, "node")
-    left = cut(open_.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s"), "ngram-open")
-    open_ = cut(open_.join(left, "s", "left_semi"), "ngram-open-rows")
-    one = open_.select("s", *[F.col(c).alias(f"{c}1") for c in ("node", "n", "pos", "c")])
-    two = open_.select("s", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "pos", "c")])
-    met = one.join(two, "s").where((F.col("node1") < F.col("node2")) & (F.col("c1") != F.col("c2")) & near(F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2")))
-    met = met.groupBy("node1", "node2").agg(F.count("*").alias("k"), F.max("pos1").alias("i"), F.max("pos2").alias("j"), F.min("n1").alias("n1"), F.min("n2").alias("n2"))
-    met = met.where(F.col("k") + F.least(F.col("n1") - F.col("i") - 1, F.col("n2") - F.col("j") - 1) >= required(F.col("n1"), F.col("n2"), share)).select(F.col("node1").alias("a"), F.col("node2").alias("b"))
-    met = cut(met.join(seen, ["a", "b"], "left_anti") if seen is not None else met, "ngram-last")
-    labels = merge(labels, cut(verified(met, held, share), "ngram-links"))
+            return labels, seen, False
+        labels = merge(labels, cut(verified(asked, texts, k, share), "ngram-links"))
+        return labels, asked if seen is None else seen.union(asked), True
+
+    for best in (True, False):
+        labels, seen, _ = ask(labels, first, seen, best)
+    rest = many.drop("texts")
+    for r in range(1, PIVOT_ROUNDS + 1):
+        # the rows of shingles whose texts lie in several components; a shingle within one is done with for good
+        labelled = cut(rest.join(labels, "node"), "ngram-open")
+        mixed = cut(labelled.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s"), "ngram-mixed")
+        rest = cut(labelled.join(mixed, "s", "left_semi"), "ngram-rest")
+        pairs = with_pivots(rest, r) if r < PIVOT_ROUNDS else meeting(rest, ["c"])
+        labels, seen, _ = ask(labels, plausible(pairs, sizes, share), seen, r < PIVOT_ROUNDS)
+        rest = rest.drop("c")
+    own = rows.where("n > 0").select("node").distinct().join(labels, "node", "left").select("node", F.coalesce("c", "node").alias("c"))
+    labels = cut(own, "ngram-labels")
     members = cut(rows.select("__rid", "doc_id", "node", "n").join(labels, "node", "left"), "ngram-members")
     least = members.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     out = members.join(cut(least, "ngram-least"), "c", "left")
