@@ -185,7 +185,8 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.join(cut(per, "pii-spans"), "__rid", "left").withColumns({c: F.coalesce(c, none) for c in ("base_spans", "spans")})
     inside = lambda x: F.exists("base_spans", lambda b: (b["s"] <= x["s"]) & (x["e"] <= b["e"]) & (b != x))
     out = out.withColumn("spans", F.filter("spans", lambda x: F.array_contains("base_spans", x) | ~inside(x)))
-    return out.withColumns({f"n_{k}": F.size(F.filter("base_spans", lambda x, i=i: x["kind"] == i)).cast("long") for i, k in enumerate(KINDS)}).drop("__rid")
+    of_kind = lambda i: F.size(F.filter("base_spans", lambda x: x["kind"] == i)).cast("long")
+    return out.withColumns({f"n_{k}": of_kind(i) for i, k in enumerate(KINDS)}).drop("__rid")
 
 
 def joined(c: str) -> Column:
