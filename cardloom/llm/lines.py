@@ -7,31 +7,34 @@ from pyspark.sql import functions as F
 
 from .common import cut, table
 
-#: A chunk ends after a line whose rolling hash over ROLL lines is 0 modulo SPACING.
-ROLL, SPACING = 2, 3
+#: A chunk ends after a line whose rolling hash over ROLL lines is less than those of both its neighbours, so chunks
+#: have two lines or more (but for a text's first and last), three on average.
+ROLL = 2
 
 
-def chunked(docs: DataFrame, roll: int = ROLL, spacing: int = SPACING) -> DataFrame:
+def chunked(docs: DataFrame, roll: int = ROLL) -> DataFrame:
     """docs with chunks: array of struct(n, at, body): number of lines, first line, the lines joined by newlines.
 
-    The rolling hash over the last `roll` line hashes decides whether a chunk ends, so that lines put in or taken out
+    The rolling hashes over the last `roll` line hashes decide where chunks end, so that lines put in or taken out
     move the boundaries near them only.
     """
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     rows = docs.withColumn("__lines", lines).withColumn("__h", F.transform("__lines", lambda x: F.xxhash64(x)))
 
-    def ends(i):
-        return F.pmod(F.aggregate(F.slice("__h", i - roll + 1, roll), F.lit(7).cast("long"), lambda a, x: F.xxhash64(a, x)), F.lit(spacing)) == 0
+    def rolling(i):
+        return F.aggregate(F.slice("__h", F.greatest(i - roll + 1, F.lit(1)), F.least(i, F.lit(roll))), F.lit(7).cast("long"), lambda a, x: F.xxhash64(a, x))
 
     n = F.size("__lines")
-    cuts = F.filter(F.sequence(F.lit(1), n), lambda i: F.when(i == n, True).when(i < roll, False).otherwise(ends(i)))
+    rows = rows.withColumn("__r", F.transform(F.sequence(F.lit(1), n), rolling))
+    at = lambda i: F.get("__r", i - 1)
+    cuts = F.filter(F.sequence(F.lit(1), n), lambda i: F.when(i == n, True).when(i <= roll, False).otherwise((at(i) < at(i - 1)) & (at(i) < at(i + 1))))
     rows = rows.withColumn("__ends", cuts)
     starts = F.concat(F.array(F.lit(0)), F.slice("__ends", 1, F.size("__ends") - 1))
     chunks = F.zip_with(starts, "__ends", lambda s, e: F.struct((e - s).alias("n"), s.alias("at"), F.array_join(F.slice("__lines", s + 1, e - s), "\n").alias("body")))
-    return rows.withColumn("chunks", chunks).drop("__lines", "__h", "__ends")
+    return rows.withColumn("chunks", chunks).drop("__lines", "__h", "__r", "__ends")
 
 
-def dedup_lines(docs: DataFrame, roll: int = ROLL, spacing: int = SPACING) -> DataFrame:
+def dedup_lines(docs: DataFrame, roll: int = ROLL) -> DataFrame:
     """docs with clean (the text without its repeated chunks), n_chunks, n_removed, n_removed_lines.
 
     Chunks of two lines or more with a word character are compared over all documents. The first occurrence (by doc_id, then text,
@@ -40,7 +43,7 @@ def dedup_lines(docs: DataFrame, roll: int = ROLL, spacing: int = SPACING) -> Da
     two equal rows one keeps its chunks). Columns that clash are replaced.
     """
     docs = docs.drop("clean", "n_chunks", "n_removed", "n_removed_lines").withColumn("__rid", F.monotonically_increasing_id())
-    each = chunked(docs.select("__rid", "doc_id", "text"), roll, spacing).select("__rid", "doc_id", F.explode("chunks").alias("c"))
+    each = chunked(docs.select("__rid", "doc_id", "text"), roll).select("__rid", "doc_id", F.explode("chunks").alias("c"))
     each = each.where((F.col("c.n") > 1) & (F.length(F.trim("c.body")) > 0)).select("__rid", "doc_id", F.col("c.at").alias("at"), F.col("c.n").alias("n"), F.xxhash64("c.body").alias("h"), F.col("c.body").alias("body"))
     place = F.struct("doc_id", "__rid", "at")
     # hashes first: only repeated ones go on; the written table lets a hot hash be split in the join
@@ -50,7 +53,7 @@ def dedup_lines(docs: DataFrame, roll: int = ROLL, spacing: int = SPACING) -> Da
     later = same.where(~(F.col("__rid").eqNullSafe(F.col("first.__rid")) & (F.col("at") == F.col("first.at"))))
     gone = later.join(cut(firsts, "lines-firsts"), "h").where(F.col("body") == F.col("first_body")).groupBy("__rid").agg(F.collect_set("at").alias("__gone"), F.sum("n").alias("n_removed_lines"))
     out = docs.join(cut(gone, "lines-gone"), "__rid", "left")
-    out = chunked(out, roll, spacing).withColumn("__kept", F.filter("chunks", lambda c: ~F.coalesce(F.array_contains("__gone", c["at"]), F.lit(False))))
+    out = chunked(out, roll).withColumn("__kept", F.filter("chunks", lambda c: ~F.coalesce(F.array_contains("__gone", c["at"]), F.lit(False))))
     out = out.withColumns({
         "clean": F.when(F.col("text").isNotNull(), F.array_join(F.transform("__kept", lambda c: c["body"]), "\n")),
         "n_chunks": F.size("chunks").cast("long"),
