@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, table
@@ -18,20 +18,29 @@ def chunked(docs: DataFrame, roll: int = ROLL) -> DataFrame:
     The rolling hashes over the last `roll` line hashes decide where chunks end, so that lines put in or taken out
     move the boundaries near them only.
     """
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    rows = docs.withColumn("__lines", lines).withColumn("__h", F.transform("__lines", lambda x: F.xxhash64(x)))
-
-    def rolling(i):
-        return F.aggregate(F.slice("__h", F.greatest(i - roll + 1, F.lit(1)), F.least(i, F.lit(roll))), F.lit(7).cast("long"), lambda a, x: F.xxhash64(a, x))
-
-    n = F.size("__lines")
-    rows = rows.withColumn("__r", F.transform(F.sequence(F.lit(1), n), rolling))
-    at = lambda i: F.get("__r", i - 1)
-    cuts = F.filter(F.sequence(F.lit(1), n), lambda i: F.when(i == n, True).when(i <= roll, False).otherwise((at(i) < at(i - 1)) & (at(i) < at(i + 1))))
-    rows = rows.withColumn("__ends", cuts)
-    starts = F.concat(F.array(F.lit(0)), F.slice("__ends", 1, F.size("__ends") - 1))
-    chunks = F.zip_with(starts, "__ends", lambda s, e: F.struct((e - s).alias("n"), s.alias("at"), F.array_join(F.slice("__lines", s + 1, e - s), "\n").alias("body")))
-    return rows.withColumn("chunks", chunks).drop("__lines", "__h", "__r", "__ends")
+
+    def rolled(h):
+        return F.transform(h, lambda x, i: F.xxhash64(*[F.get(h, i - j) for j in range(roll - 1, 0, -1)], x))
+
+    def ends(r):
+        least = lambda i: (F.get(r, i) < F.get(r, i - 1)) & (F.get(r, i) < F.get(r, i + 1))
+        return F.filter(F.sequence(F.lit(1), F.size(r)), lambda i: (i == F.size(r)) | F.coalesce((i > roll) & least(i - 1), F.lit(False)))
+
+    def chunks(lines, e):
+        starts = F.concat(F.array(F.lit(0)), F.slice(e, 1, F.size(e) - 1))
+        return F.zip_with(starts, e, lambda s, t: F.struct((t - s).alias("n"), s.alias("at"), F.array_join(F.slice(lines, s + 1, t - s), "\n").alias("body")))
+
+    made = let(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda lines: let(rolled_hashes(lines, rolled), lambda r: let(ends(r), lambda e: chunks(lines, e))))
+    return docs.withColumn("chunks", made)
+
+
+def let(value: Column, then) -> Column:
+    """then(value), with value worked out once for a row; a plain column may be put in wherever it is named, lambdas included."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def rolled_hashes(lines: Column, rolled) -> Column:
+    return let(F.transform(lines, lambda x: F.xxhash64(x)), rolled)
 
 
 def dedup_lines(docs: DataFrame, roll: int = ROLL) -> DataFrame:

@@ -17,17 +17,20 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Subwords with a class of their own, and classes that the others share by id. The last class is the text's end.
 OWN, SHARED = 48, 16
 END, BOS = OWN + SHARED, OWN + SHARED + 1
-WIDTH, CONTEXT, STRIDE, BATCH = 16, 32, 24, 1024
-#: One window in TRAIN_EVERY of every training text trains the attention weights (it grows with the corpus); all counts cover all texts.
-TRAIN_EVERY, ROUNDS, STEP, SEED = 16, 3, 0.01, 5
-#: Words whose counts every task holds; the others' counts come by a join.
+WIDTH, CONTEXT, STRIDE, BATCH = 16, 32, 24, 128
+#: One window in TRAIN_EVERY of the training texts, by a hash, trains the attention weights (it grows with the corpus); all counts cover all texts.
+TRAIN_EVERY, ROUNDS, STEP, FEWEST_STEPS, SEED = 64, 3, 0.01, 40, 5
+#: The model's share of a class's probability; the rest is the class's share of all training subwords.
+MIXED = 0.95
+MODEL = math.log(MIXED)
+#: Words whose counts every task holds, of those with a share of 1 / (20 * COMMON_WORDS) or more; the others' counts come by a join.
 COMMON_WORDS = 100_000
 
 
 class Subwords:
     """Subword ids by word, remembered up to a bound. Words over 64 bytes are cut into pieces first."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         import tiktoken
 
         with open(path, "rb") as f:
@@ -62,59 +65,75 @@ def start() -> dict[str, np.ndarray]:
     return {"E": f(BOS + 1, d), "P": f(CONTEXT, d), "Q": f(d, d), "K": f(d, d), "V": f(d, d), "O": f(d, d), "U": f(d, END + 1), "b": np.zeros(END + 1, np.float32)}
 
 
-MASK = np.where(np.tril(np.ones((CONTEXT, CONTEXT), bool)), 0, -1e9).astype(np.float32)
+LEAD = CONTEXT - STRIDE
+#: Which places each scored place sees: itself and those before it.
+SEES = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))[LEAD:]
 
 
 def forward(p, x):
-    """Log probabilities of the next class at each place of x (windows, CONTEXT), and what backward needs. A place sees itself and those before it."""
+    """Logits of the next class at the last STRIDE places of windows x, the logs of their exponentials' sums, and what backward needs."""
     h = p["E"][x] + p["P"]
-    q, k, v = h @ p["Q"], h @ p["K"], h @ p["V"]
-    s = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + MASK
-    s -= s.max(-1, keepdims=True)
-    a = np.exp(s, out=s)
-    a /= a.sum(-1, keepdims=True)
-    o = a @ v
-    z = h + o @ p["O"]
-    y = z.reshape(-1, WIDTH) @ p["U"] + p["b"]
-    y -= y.max(-1, keepdims=True)
-    y -= np.log(np.exp(y).sum(-1, keepdims=True))
-    return y, (h, q, k, v, a, o, z)
+    flat = h.reshape(-1, WIDTH)
+    k, v = (flat @ p["K"]).reshape(h.shape), (flat @ p["V"]).reshape(h.shape)
+    late = np.ascontiguousarray(h[:, LEAD:])
+    q = (late.reshape(-1, WIDTH) @ (p["Q"] * np.float32(WIDTH**-0.5))).reshape(late.shape)
+    e = q @ k.transpose(0, 2, 1)
+    np.clip(e, -60, 60, out=e)  # in place of taking off the largest: the exponentials stay finite
+    np.exp(e, out=e)
+    e *= SEES
+    o = e @ v
+    total = e @ np.ones((CONTEXT, 1), e.dtype)
+    o /= total
+    z = late.reshape(-1, WIDTH) + o.reshape(-1, WIDTH) @ p["O"]
+    y = z @ p["U"]
+    y += p["b"]
+    np.clip(y, -60, 60, out=y)
+    f = np.exp(y)
+    return y, f @ np.ones(f.shape[1], f.dtype), (h, late, q, k, v, e, total, o, z, f)
+
+
+def target_logs(p, x, target) -> np.ndarray:
+    """Natural logs of the targets' probabilities at the scored places."""
+    y, total, _ = forward(p, x)
+    return y[np.arange(len(y)), target.ravel()] - np.log(total)
 
 
 def backward(p, x, target, weight):
     """Gradients of the mean cross entropy of windows x against target, over places of weight 1."""
-    y, (h, q, k, v, a, o, z) = forward(p, x)
-    n, c = max(float(weight.sum()), 1.0), np.float32(WIDTH**-0.5)
-    g = np.exp(y)
+    _, sums, (h, late, q, k, v, e, total, o, z, f) = forward(p, x)
+    c = np.float32(WIDTH**-0.5)
+    g = f / sums[:, None]
     g[np.arange(len(g)), target.ravel()] -= 1
-    g *= (weight.ravel() / n)[:, None].astype(np.float32)
-    grad = {"U": z.reshape(-1, WIDTH).T @ g, "b": g.sum(0)}
-    gz = (g @ p["U"].T).reshape(z.shape)
+    g *= (weight.ravel() / max(float(weight.sum()), 1.0))[:, None].astype(np.float32)
     flat = lambda m: m.reshape(-1, WIDTH)
+    grad = {"U": z.T @ g, "b": g.sum(0)}
+    gz = (g @ p["U"].T).reshape(late.shape)
     grad["O"] = flat(o).T @ flat(gz)
-    go = gz @ p["O"].T
+    go, a = gz @ p["O"].T, e / total
     ga = go @ v.transpose(0, 2, 1)
     gv = a.transpose(0, 2, 1) @ go
-    gs = a * (ga - (ga * a).sum(-1, keepdims=True)) * c
-    gq, gk = gs @ k, gs.transpose(0, 2, 1) @ q
-    gh = gz + gq @ p["Q"].T + gk @ p["K"].T + gv @ p["V"].T
-    grad |= {"Q": flat(h).T @ flat(gq), "K": flat(h).T @ flat(gk), "V": flat(h).T @ flat(gv), "P": gh.sum(0)}
+    gs = a * (ga - (ga * a).sum(-1, keepdims=True))
+    gq, gk = gs @ k * c, gs.transpose(0, 2, 1) @ q
+    gh = gk @ p["K"].T + gv @ p["V"].T
+    gh[:, LEAD:] += gz + gq @ p["Q"].T
+    grad |= {"Q": flat(late).T @ flat(gq), "K": flat(h).T @ flat(gk), "V": flat(h).T @ flat(gv), "P": gh.sum(0)}
     grad["E"] = np.zeros_like(p["E"])
     np.add.at(grad["E"], x.ravel(), flat(gh))
     return grad
 
 
-def windows(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, targets and the places that count, so that each of classes (its end included) is a target once: the first
-    window counts all its places, each later one its last STRIDE, with at least CONTEXT - STRIDE places before them."""
-    seq = np.concatenate([[BOS], classes, [END]]).astype(np.int16)
-    n = len(seq) - 1
-    count = 1 + max(0, -(-(n - CONTEXT) // STRIDE))
-    padded = np.full((count - 1) * STRIDE + CONTEXT + 1, END, np.int16)
-    padded[: n + 1] = seq
-    at = (np.arange(count) * STRIDE)[:, None] + np.arange(CONTEXT)
-    weight = (at < n) & ((np.arange(count) == 0)[:, None] | (np.arange(CONTEXT) >= CONTEXT - STRIDE))
-    return padded[at], padded[at + 1], weight
+def windows(classes: np.ndarray, every: int = 1, first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, targets and the places that count, so that each of classes and the end is a target once: windows overlap,
+    and each is scored at its last STRIDE places, after LEAD places of context (starts before the text in the first
+    window). Only each `every`-th window from `first` on is given."""
+    n = len(classes) + 1
+    count = -(-n // STRIDE)
+    seq = np.full(LEAD + count * STRIDE + 1, END, np.int16)
+    seq[: LEAD + 1] = BOS
+    seq[LEAD + 1 : LEAD + n] = classes
+    at = (np.arange(first, count, every) * STRIDE)[:, None] + np.arange(CONTEXT)
+    late = at[:, LEAD:]
+    return seq[at], seq[late + 1], late - LEAD < n
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -175,14 +194,13 @@ def train(docs: DataFrame, cls: np.ndarray, path: str) -> dict[str, np.ndarray]:
         for b in batches:
             xs, ys, ws = [], [], []
             for rid, t in zip(b.column("__key").to_pylist(), b.column("text").to_pylist(), strict=True):
-                x, y, w = windows(shared.value[s.ids(tokens(t))])
-                keep = np.arange(rid % TRAIN_EVERY, len(x), TRAIN_EVERY)
-                xs += [r.tobytes() for r in x[keep].astype(np.uint8)]
-                ys += [r.tobytes() for r in y[keep].astype(np.uint8)]
-                ws += [r.tobytes() for r in w[keep].astype(np.uint8)]
+                x, y, w = windows(shared.value[s.ids(tokens(t))], TRAIN_EVERY, rid % TRAIN_EVERY)
+                xs += [r.tobytes() for r in x.astype(np.uint8)]
+                ys += [r.tobytes() for r in y.astype(np.uint8)]
+                ws += [r.tobytes() for r in w.astype(np.uint8)]
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary()), pa.array(ws, pa.binary())], names=["x", "y", "w"])
 
-    held = cut(docs.select(F.pmod(F.xxhash64("text"), F.lit(1 << 20)).alias("__key"), F.col("text").cast("binary").alias("text")).mapInArrow(gather, "x binary, y binary, w binary"), "lm-windows")
+    held = cut(docs.select(F.pmod(F.xxhash64("doc_id", "text", "__rid"), F.lit(1 << 20)).alias("__key"), F.col("text").cast("binary").alias("text")).mapInArrow(gather, "x binary, y binary, w binary"), "lm-windows")
     p = start()
     names, shapes = list(p), {k: v.shape for k, v in p.items()}
     for r in range(ROUNDS):
@@ -192,10 +210,11 @@ def train(docs: DataFrame, cls: np.ndarray, path: str) -> dict[str, np.ndarray]:
             p = {k: v.copy() for k, v in now.value.items()}
             m, v, n, t = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0, 0
             for b in batches:
-                data = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, CONTEXT) for c in ("x", "y", "w")]
-                for i in range(0, len(data[0]), 256):
+                data = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, width) for c, width in (("x", CONTEXT), ("y", STRIDE), ("w", STRIDE))]
+                n += len(data[0])
+                for i in [*range(0, len(data[0]), 256)] * max(1, -(-FEWEST_STEPS * 256 // max(len(data[0]), 256))):  # few windows are gone over again
                     x, y, w = (a[i : i + 256] for a in data)
-                    t, n = t + 1, n + len(x)
+                    t += 1
                     for k, g in backward(p, x, y, w).items():
                         m[k] = 0.9 * m[k] + 0.1 * g
                         v[k] = 0.99 * v[k] + 0.01 * g * g
@@ -230,14 +249,18 @@ def score(docs: DataFrame, held_out, path: str = TOKENIZER) -> DataFrame:
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = total.n + ends, total.v + (ends > 0)
     base = math.log10(n + 0.5 * (v + 1))
-    common = {bytes(r.word): math.log10(r.c + 0.5) for r in words.orderBy(F.desc("c"), "word").limit(COMMON_WORDS).collect()}
-    cls, within = classes_of(count_subwords(words, path))
+    common = {bytes(r.word): math.log10(r.c + 0.5) for r in words.where(F.col("c") >= n / (20 * COMMON_WORDS)).orderBy(F.desc("c"), "word").limit(COMMON_WORDS).collect()}
+    subwords = count_subwords(words, path)
+    cls, within = classes_of(subwords)
+    prior = np.bincount(cls, weights=subwords, minlength=END + 1)[: END + 1] + 0.5
+    prior[END] += ends
+    prior = np.log((1 - MIXED) * prior / prior.sum()).astype(np.float32)
     model = train(learnt, cls, path)
-    shared = spark.sparkContext.broadcast((common, cls, within, model))
+    shared = spark.sparkContext.broadcast((common, cls, within, model, prior))
     end = math.log10(ends + 0.5)
 
     def run(batches):
-        s, (common, cls, within, p) = Subwords(path), shared.value
+        s, (common, cls, within, p, prior) = Subwords(path), shared.value
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 b = whole.slice(lo, 256)
@@ -261,10 +284,9 @@ def score(docs: DataFrame, held_out, path: str = TOKENIZER) -> DataFrame:
                 x, y, m, owner = (np.concatenate(z) for z in (xs, ys, ws, owner))
                 out = np.zeros(b.num_rows)
                 for i in range(0, len(x), BATCH):
-                    lp, _ = forward(p, x[i : i + BATCH])
                     part = y[i : i + BATCH]
-                    lp = lp[np.arange(len(lp)), part.ravel()].reshape(part.shape)
-                    np.add.at(out, owner[i : i + BATCH], (lp * m[i : i + BATCH]).sum(1, dtype=np.float64))
+                    logs = np.logaddexp(target_logs(p, x[i : i + BATCH], part) + MODEL, prior[part.ravel()]).reshape(part.shape)
+                    out += np.bincount(owner[i : i + BATCH], (logs * m[i : i + BATCH]).sum(1, dtype=np.float64), len(out))
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("__rid"), b.column("doc_id"), b.column("held_out"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], pa.array(out / math.log(10) + np.array(inner))],
