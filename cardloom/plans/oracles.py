@@ -92,4 +92,11 @@ r AS (SELECT deck_id, quantity >= 25 AS rel, row_number() OVER (PARTITION BY dec
 a AS (SELECT deck_id, count(*) FILTER (rel) AS n, count(*) FILTER (rel AND k <= 3) AS hits, coalesce(sum(1 / log2(k + 1)) FILTER (rel AND k <= 3), 0) AS dcg, min(k) FILTER (rel) AS first FROM r GROUP BY 1)
 SELECT deck_id AS example_id, hits / n AS recall, round(dcg / CASE least(n, 3) WHEN 1 THEN 1 WHEN 2 THEN 1 + 1 / log2(3) ELSE 1 + 1 / log2(3) + 0.5 END, 9) AS ndcg, 1 / first AS reciprocal_rank FROM a WHERE n > 0""",
     "privacy_mask": """SELECT event_id, '{"E-Mail":"[EXCLUDED]","type":"' || event_type || '"}' AS payload FROM events""",
+    "card_catalog": "SELECT p_name AS oracle_id, min(p_partkey) AS staging_id, arg_min(p_brand, p_partkey) AS brand, (SELECT count(*) FROM part q WHERE q.p_name = p.p_name AND q.p_brand = arg_min(p.p_brand, p.p_partkey)) AS n FROM part p GROUP BY p_name",
+    "card_conflicts": "SELECT p_partkey AS staging_id, p_name AS oracle_id, 'quality.card_facts_conflict' AS code FROM part QUALIFY p_brand <> first_value(p_brand) OVER (PARTITION BY p_name ORDER BY p_partkey)",
+    "completion_rows": f"WITH RECURSIVE {CC} SELECT 'orders:' || record_id AS curated_id, record_id, split, coalesce((SELECT string_agg(DISTINCT group_id, ',' ORDER BY group_id) FROM mem WHERE mem.record_id = promoted.record_id), '') AS group_ids FROM promoted",
+    "dataset_reconciliation": f"WITH {EX} SELECT (SELECT count(*) FROM orders) AS inputs, count(*) FILTER (exclusion_code IS NULL) AS kept, count(*) FILTER (exclusion_code IS NOT NULL) AS excluded, 0::BIGINT AS in_both, 0::BIGINT AS in_neither, 0::BIGINT AS repeated FROM ex",
+    "completion_masks": f"WITH {DC}, m AS (SELECT deck_id, oracle_id, row_number() OVER (PARTITION BY deck_id ORDER BY sha256(deck_id || ':orders:0:' || oracle_id), oracle_id) AS k, count(*) OVER (PARTITION BY deck_id) AS n FROM dz WHERE zone = 'mainboard') SELECT deck_id, oracle_id FROM m WHERE k <= ceil(n * 0.25)",
+    "dataset_filter": """SELECT CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '5-LOW') THEN 'policy.source_not_selected' WHEN lower(o_orderstatus) NOT IN ('f', 'o') THEN 'policy.mode_not_selected'
+  WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'policy.observed_before_window' WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'policy.observed_after_window' END AS exclusion_code, count(*) AS n FROM orders GROUP BY 1""",
 }

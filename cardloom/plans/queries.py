@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import decks, reports, resolution, rules, splits
+from ..operators import catalog, datasets, decks, reports, resolution, rules, splits
 
 TRAIN_UNTIL, VALIDATION_UNTIL = "1999-01-01", "2000-07-01"
 RULES = {"required_total": 100, "min_commanders": 1, "max_commanders": 20, "copy_limit": 40}
@@ -221,6 +221,39 @@ def q_mask(spark, d):
     return e.select("event_id", F.to_json(scalars.masked(F.col("m"))).alias("payload"))
 
 
+def part_facts(spark, d) -> DataFrame:
+    """Parts as staged rows of a card named by their name: brands that differ from the first row's conflict."""
+    return t(spark, d, "part").select(F.col("p_partkey").alias("staging_id"), F.col("p_name").alias("oracle_id"), F.col("p_brand").alias("brand"))
+
+
+def q_catalog(spark, d):
+    return catalog.merge_cards(part_facts(spark, d), ["brand"])[0]
+
+
+def q_conflicts(spark, d):
+    return catalog.merge_cards(part_facts(spark, d), ["brand"])[1]
+
+
+def q_completion_rows(spark, d):
+    rows = datasets.completion_rows("orders", q_promoted(spark, d).select("record_id", "split"), memberships(spark, d))
+    return rows.withColumn("group_ids", F.concat_ws(",", "group_ids"))
+
+
+def q_reconciliation(spark, d):
+    every = judged(spark, d)
+    return datasets.reconcile(occurrences(spark, d).select("deck_id"), every.where("exclusion_code is null"), every.where("exclusion_code is not null"), "deck_id")
+
+
+def q_masks(spark, d):
+    return datasets.masks(deck_cards(spark, d), "orders", 0, 0.25).where("masked").select("deck_id", "oracle_id")
+
+
+def q_filter(spark, d):
+    rows = t(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"), F.col("o_orderpriority").alias("source_id"), scalars.mode(F.col("o_orderstatus")).alias("mode"), F.col("o_orderdate").alias("observed_at"))
+    out = datasets.filter_records(rows, sources=["1-URGENT", "2-HIGH", "5-LOW"], modes=["f", "o"], observed_from="1996-01-01", observed_until="2000-01-01")
+    return out.groupBy("exclusion_code").agg(F.count("*").alias("n"))
+
+
 QUERIES = {
     "deck_fingerprint": lambda s, d: decks.fingerprint(deck_cards(s, d)), "exact_duplicates": q_exact, "revision_groups": q_revision,
     "near_duplicate_pairs": q_near_pairs, "near_duplicate_clusters": q_near_clusters,
@@ -233,4 +266,5 @@ QUERIES = {
     "name_resolution": q_names, "identifier_resolution": q_identifiers,
     "source_summary": q_summary, "cross_source_overlap": q_overlap, "first_claim_outcome": q_first_claim, "mode_histogram": q_modes,
     "decklist_parse": q_decklist, "top_commanders": q_top, "card_popularity": q_popularity, "benchmark_ndcg": q_ranking, "privacy_mask": q_mask,
+    "card_catalog": q_catalog, "card_conflicts": q_conflicts, "completion_rows": q_completion_rows, "dataset_reconciliation": q_reconciliation, "completion_masks": q_masks, "dataset_filter": q_filter,
 }
