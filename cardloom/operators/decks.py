@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import connected_components
@@ -44,17 +44,26 @@ def revision_groups(occurrences: DataFrame) -> DataFrame:
 def near_duplicate_pairs(deck_cards: DataFrame, threshold: float = 0.92) -> DataFrame:
     """left_id < right_id, similarity: sum of least quantities over sum of greatest, by (zone, oracle_id), at threshold or over.
 
-    Only pairs that share a card meet, on one equi-join that the optimizer may split where a card is frequent. Sizes bound
-    the similarity, so decks whose totals are too far apart are dropped before quantities are added.
+    A deck is the multiset of its card copies, ordered rare cards first. Two decks at threshold or over share a card
+    within each one's first total - ceil(threshold * total) + 1 copies, so only those meet, on one equi-join; common
+    cards are rarely among them. Totals too far apart are dropped, and the pairs that are left are added up over whole decks.
     """
-    totals = deck_cards.groupBy("deck_id").agg(F.sum("quantity").cast("long").alias("total"))
     if threshold <= 0:
         raise ValueError("threshold must be positive")
-    items = deck_cards.groupBy("deck_id", "zone", "oracle_id").agg(F.sum("quantity").cast("long").alias("q")).join(totals, "deck_id")
-    one = items.select(F.col("deck_id").alias("left_id"), "zone", "oracle_id", F.col("q").alias("q1"), F.col("total").alias("t1"))
-    two = items.select(F.col("deck_id").alias("right_id"), "zone", "oracle_id", F.col("q").alias("q2"), F.col("total").alias("t2"))
+    items = deck_cards.groupBy("deck_id", "zone", "oracle_id").agg(F.sum("quantity").cast("long").alias("q"))
+    totals = items.groupBy("deck_id").agg(F.sum("q").alias("total"))
+    decks = items.groupBy("zone", "oracle_id").agg(F.count("*").alias("decks"))
+    w = Window.partitionBy("deck_id").orderBy("decks", "zone", "oracle_id").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = items.join(decks, ["zone", "oracle_id"]).join(totals, "deck_id").withColumn("before", F.coalesce(F.sum("q").over(w), F.lit(0)))
+    # one copy more than needed: rounding can't lose a pair
+    first = ordered.where(F.col("before") <= F.col("total") - F.ceil(F.col("total") * threshold) + 1)
+    one = first.select(F.col("deck_id").alias("left_id"), "zone", "oracle_id", F.col("total").alias("t1"))
+    two = first.select(F.col("deck_id").alias("right_id"), "zone", "oracle_id", F.col("total").alias("t2"))
     near = F.least("t1", "t2") >= F.greatest("t1", "t2") * F.lit(threshold) - F.lit(1e-9)
-    common = one.join(two, ["zone", "oracle_id"]).where((F.col("left_id") < F.col("right_id")) & near).groupBy("left_id", "right_id", "t1", "t2").agg(F.sum(F.least("q1", "q2")).alias("m"))
+    asked = one.join(two, ["zone", "oracle_id"]).where((F.col("left_id") < F.col("right_id")) & near).select("left_id", "right_id", "t1", "t2").distinct()
+    left = asked.join(items.select(F.col("deck_id").alias("left_id"), "zone", "oracle_id", F.col("q").alias("q1")), "left_id")
+    both = left.join(items.select(F.col("deck_id").alias("right_id"), "zone", "oracle_id", F.col("q").alias("q2")), ["right_id", "zone", "oracle_id"])
+    common = both.groupBy("left_id", "right_id", "t1", "t2").agg(F.sum(F.least("q1", "q2")).alias("m"))
     similarity = F.col("m") / (F.col("t1") + F.col("t2") - F.col("m"))
     return common.select("left_id", "right_id", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
