@@ -50,7 +50,7 @@ def mix(df: DataFrame, weights: dict[str, float] = WEIGHTS, rest: float = REST,
     not named belong to the rest. Target weights are shares of documents. Columns that clash (copy, shuffle_key) are replaced.
     """
     rate, other = rates(df, weights, rest, epochs)
-    key = [F.col("doc_id"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))]
+    key = [F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit("")))]
     n = F.when(F.lit(False), F.lit(0))
     for s, mean in rate.items():
         n = n.when(F.col("source") == s, copies(mean, key, seed))
@@ -69,3 +69,15 @@ def shuffled(df: DataFrame) -> DataFrame:
 def op5_mixing(spark, sf_dir) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return shuffled(mixed.select("doc_id", "source", F.col("copy").cast("long").alias("copy"), "shuffle_key", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")))
+
+
+#: Means are under STEP here, so one uniform number decides a row's copies.
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(strlen(text), 0) AS bytes, coalesce(doc_id::VARCHAR, '~') || ':' || md5(coalesce(text, '')) AS k, CASE WHEN source IN ({", ".join(f"'{s}'" for s in WEIGHTS)}) THEN source END AS named FROM documents),
+w(s, weight) AS (VALUES {", ".join(f"('{s}', {w}::DOUBLE)" for s, w in WEIGHTS.items())}, (NULL, {REST}::DOUBLE)),
+n AS (SELECT named, count(*) AS n FROM d GROUP BY 1),
+r AS (SELECT named, weight / sum(weight) OVER () * sum(n) OVER () / n AS mean FROM n JOIN w ON w.s IS NOT DISTINCT FROM n.named),
+c AS (SELECT named, list(cdf ORDER BY k) AS cdfs FROM (SELECT named, k, sum(exp(k * ln(mean) - mean - lgamma(k + 1))) OVER (PARTITION BY named ORDER BY k) AS cdf FROM r, range(0, 60) AS t(k)) GROUP BY 1),
+u AS (SELECT doc_id, source, bytes, k, len(list_filter(cdfs, lambda x: x <= ('0x' || substr(md5('{SEED}:' || k || ':part0'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)) AS copies FROM d JOIN c ON c.named IS NOT DISTINCT FROM d.named)
+SELECT doc_id, source, i AS copy, ('0x' || substr(md5('{SEED}:' || k || ':' || i || ':order'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS shuffle_key, bytes FROM u, range(0, copies) AS t(i)
+"""

@@ -269,3 +269,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = found.where("c is not null").groupBy("c").agg(F.min(F.struct("doc_id", "__rid")).alias("r")).select("r.__rid")
     kept = cut(first.union(found.where("c is null").select("__rid")), "ngram-kept")
     return docs.withColumn("__rid", F.monotonically_increasing_id()).join(kept, "__rid", "left_semi").drop("__rid")
+
+
+OP10_SQL = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT rid, array_to_string(w[i:i + {WORDS - 1}], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - {WORDS - 1}, 1) + 1)) AS t(i) WHERE len(w) > 0),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.rid AS a, b.rid AS b, count(*) AS m FROM s a JOIN s b ON a.s = b.s AND a.rid < b.rid GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * m >= {SHARE} * (x.n + y.n - m)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT rid, rid FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT r.a AS rid, min(d.doc_id) AS component_id FROM r JOIN d ON d.rid = r.b GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d JOIN c USING (rid) LEFT JOIN n USING (rid)
+"""

@@ -114,3 +114,20 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, whole, in their own columns."""
     verdicts = cut(judge(docs).where("kept").select("__rid"), "quality-kept")
     return docs.withColumn("__rid", F.monotonically_increasing_id()).join(verdicts, "__rid", "left_semi").drop("__rid")
+
+
+OP8_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
+g AS (SELECT rid, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS s FROM w, unnest(range(1, len(ws) - {WINDOW} + 2)) AS x(i)),
+h AS (SELECT rid, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, s) > 1),
+p AS (SELECT rid, count(DISTINCT k) AS n FROM h, unnest(range(i, i + {WINDOW})) AS x(k) GROUP BY 1),
+l AS (SELECT rid, host, t, translate(array_to_string(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n FROM w, unnest(ls) AS y(x)),
+m AS (SELECT host, count(DISTINCT t) AS texts FROM d GROUP BY 1),
+b AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT t) AS docs FROM l GROUP BY ALL) JOIN m USING (host) WHERE docs > {MOST_DOCS} AND docs > {MOST_SHARE}::DOUBLE * texts),
+o AS (SELECT rid, sum(n) AS n FROM l JOIN b USING (host, line) GROUP BY 1),
+f AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+  coalesce(p.n, 0) AS n_repeat_words, coalesce(o.n, 0)::BIGINT AS n_line_words FROM w LEFT JOIN p USING (rid) LEFT JOIN o USING (rid))
+SELECT *, n_words < {FEWEST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
+  NOT (n_words < {FEWEST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words) AND (n_words - n_line_words) >= {LEAST_LEFT}::DOUBLE * n_words AS kept FROM f
+"""

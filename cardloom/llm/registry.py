@@ -15,6 +15,9 @@ QUERIES = {
     "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 SQL = {
+    "op5_mixing": mixing.OP5_SQL,
     "op6_decontamination": decontamination.OP6_SQL,
     "op7_url_filter": urls.OP7_SQL,
+    "op8_quality": quality.OP8_SQL,
+    "op10_ngram_join": ngram_join.OP10_SQL,
 }
