@@ -57,11 +57,12 @@ def dedup_lines(docs: DataFrame, roll: int = ROLL) -> DataFrame:
     place = F.struct("doc_id", "__rid", "at")
     # hashes first: only repeated ones go on; the written table lets a hot hash be split in the join
     repeated = cut(each.groupBy("h").agg(F.count("*").alias("k"), F.min(place).alias("first")).where("k > 1").select("h", "first"), "lines-repeated")
-    same = cut(each.join(repeated, "h"), "lines-candidates")
+    # merged at every size: the plan that holds for a large corpus, with a hot hash split, also runs on a small one
+    same = cut(each.join(repeated.hint("merge"), "h"), "lines-candidates")
     firsts = same.where(F.col("__rid").eqNullSafe(F.col("first.__rid")) & (F.col("at") == F.col("first.at"))).select("h", F.col("body").alias("first_body"))
     later = same.where(~(F.col("__rid").eqNullSafe(F.col("first.__rid")) & (F.col("at") == F.col("first.at"))))
     gone = later.join(cut(firsts, "lines-firsts"), "h").where(F.col("body") == F.col("first_body")).groupBy("__rid").agg(F.collect_set("at").alias("__gone"), F.sum("n").alias("n_removed_lines"))
-    out = docs.join(cut(gone, "lines-gone"), "__rid", "left")
+    out = docs.join(cut(gone, "lines-gone").hint("merge"), "__rid", "left")
     out = chunked(out, roll).withColumn("__kept", F.filter("chunks", lambda c: ~F.coalesce(F.array_contains("__gone", c["at"]), F.lit(False))))
     out = out.withColumns({
         "clean": F.when(F.col("text").isNotNull(), F.array_join(F.transform("__kept", lambda c: c["body"]), "\n")),
