@@ -9,14 +9,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, forget, table
 
 WORDS, SHARE = 5, 75
 #: The frequent shingles that the order puts last: at most so many, from counts within chunks of CHUNK shingles.
 FREQUENT, CHUNK, LEAST_IN_CHUNK = 50_000, 1 << 20, 4
 #: A shingle of up to FEW texts has all its pairs looked at; the texts of others meet pivots first, in so many rounds.
 FEW, PIVOT_ROUNDS = 6, 5
-RANGES, SHIFT = 256, 56
+#: Bins of parities for each shingle, and the most in all.
+BINS, MOST_BINS = 4, 1 << 17
 A, B, ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(31)
 
 
@@ -55,6 +56,21 @@ class Shingler:
         return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
+def parities(x: np.ndarray) -> bytes:
+    """The parities of the counts of shingle hashes in bins, by the hashes' last bits: a power of two of bins, BINS for each hash or more."""
+    bins = min(1 << max(6, (BINS * len(x) - 1).bit_length()), MOST_BINS)
+    return np.packbits(np.bincount(x & (bins - 1), minlength=bins) & 1).tobytes()
+
+
+def unlike(a: bytes, b: bytes) -> int:
+    """In how many bins parities differ: at most as many shingles are in one of both sets alone. The longer is folded to the other's bins."""
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        h = len(a) // 2
+        a = (int.from_bytes(a[:h]) ^ int.from_bytes(a[h:])).to_bytes(h)
+    return (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
+
+
 def required(n: Column, m: Column, share: int) -> Column:
     """The least overlap of sets of n and m that link: (100 + share) * overlap >= share * (n + m), in whole numbers."""
     return F.floor((share * (n + m) + (100 + share - 1)) / F.lit(100 + share)).cast("long")
@@ -87,14 +103,14 @@ def frequent(docs: DataFrame, k: int) -> dict[int, int]:
 
 
 def prefixes(docs: DataFrame, order: dict[int, int], k: int, share: int) -> DataFrame:
-    """For each row: __rid, doc_id, node (its text's hash), n (set size), prefix (its first shingles, rare first), light (how many of those aren't frequent), ranges (its shingles by range of hashes)."""
+    """For each row: __rid, doc_id, node (its text's hash), n (set size), prefix (its first shingles, rare first), light (how many of those aren't frequent), bits (the parities of its shingles)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((np.array(sorted(order), np.int64), np.array([order[h] for h in sorted(order)], np.int64)))
 
     def run(batches):
         s, (hs, cs) = Shingler(k), shared.value
         for b in batches:
-            n, light, prefix, ranges = [], [], [], []
+            n, light, prefix, bits = [], [], [], []
             for t in b.column("text").to_pylist():
                 x = s.shingles(t)
                 p = len(x) + 1 - -(-share * len(x) // 100) if len(x) else 0
@@ -106,13 +122,13 @@ def prefixes(docs: DataFrame, order: dict[int, int], k: int, share: int) -> Data
                 else:
                     first, ll = x[:p], p
                 n.append(len(x))
-                ranges.append(np.bincount((x >> SHIFT) + RANGES // 2, minlength=RANGES).astype(np.int32) if len(x) else np.zeros(RANGES, np.int32))
+                bits.append(parities(x) if len(x) else b"")
                 light.append(ll)
                 prefix.append(first)
-            yield pa.RecordBatch.from_arrays([b.column("__rid"), b.column("doc_id"), b.column("node"), pa.array(n, pa.int64()), pa.array(light, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int32()))], names=["__rid", "doc_id", "node", "n", "light", "prefix", "ranges"])
+            yield pa.RecordBatch.from_arrays([b.column("__rid"), b.column("doc_id"), b.column("node"), pa.array(n, pa.int64()), pa.array(light, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["__rid", "doc_id", "node", "n", "light", "prefix", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("__rid", "doc_id", "node", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"__rid long, doc_id {kind}, node long, n long, light int, prefix array<long>, ranges array<int>")
+    return docs.select("__rid", "doc_id", "node", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"__rid long, doc_id {kind}, node long, n long, light int, prefix array<long>, bits binary")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -147,12 +163,19 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, share: int) -> DataFram
 
 
 def plausible(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
-    """Suffix filter: of pairs (a, b) those whose counts over RANGES ranges of shingle hashes allow the overlap that a link needs."""
-    one = sizes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("ranges").alias("ra"))
-    two = sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("ranges").alias("rb"))
-    both = pairs.join(one, "a").join(two, "b")
-    bound = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.least(x, y)), F.lit(0), lambda u, v: u + v)
-    return both.where(bound >= required(F.col("na"), F.col("nb"), share)).drop("na", "nb", "ra", "rb")
+    """Suffix filter: of pairs (a, b, k) those whose parities allow sets that differ in as few shingles as a link needs."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "ra", "rb")), strict=True):
+                need = -(-share * (n + m) // (100 + share))
+                keep.append(unlike(x, y) <= n + m - 2 * need)
+            yield batch.select(["a", "b", "k"]).filter(pa.array(keep, pa.bool_()))
+
+    one = sizes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ra"))
+    two = sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("rb"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "k", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long, k long")
 
 
 def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -163,10 +186,14 @@ def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
         both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u"))).toDF("c", "to")
         hook = cut(both.groupBy("c").agg(F.least(F.min("to"), F.col("c")).alias("to")), "ngram-hooks")
         for _ in range(2):
-            hook = cut(hook.join(hook.select(F.col("c").alias("to"), F.col("to").alias("next")), "to").select("c", F.col("next").alias("to")), "ngram-hooks")
-        labels = cut(labels.join(hook, "c", "left").select("node", F.coalesce("to", "c").alias("c")), "ngram-labels")
+            last, hook = hook, cut(hook.join(hook.select(F.col("c").alias("to"), F.col("to").alias("next")), "to").select("c", F.col("next").alias("to")), "ngram-hooks")
+            forget(last)
+        last, labels = labels, cut(labels.join(hook, "c", "left").select("node", F.coalesce("to", "c").alias("c")), "ngram-labels")
+        forget(last)
         h = lambda x: hook.select(F.col("c").alias(x), F.col("to").alias(f"t{x}"))
-        edges = cut(edges.join(h("u"), "u").join(h("v"), "v").where("tu <> tv").select(F.least("tu", "tv").alias("u"), F.greatest("tu", "tv").alias("v")).distinct(), "ngram-edges")
+        last, edges = edges, cut(edges.join(h("u"), "u").join(h("v"), "v").where("tu <> tv").select(F.least("tu", "tv").alias("u"), F.greatest("tu", "tv").alias("v")).distinct(), "ngram-edges")
+        forget(last, hook)
+    forget(edges)
     return labels
 
 
@@ -189,13 +216,16 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
     light = flat.where("pos < light").select("s", "__rid", "pos").withColumns({"lo": F.min("__rid").over(w), "hi": F.max("__rid").over(w)}).where("lo <> hi").drop("lo", "hi")
     heavy = flat.where("pos >= light").select("s", "__rid", "pos")
     met = cut(light.union(heavy), "ngram-met")
-    shared = cut(met.join(rows.select("__rid", "node", "n"), "__rid").groupBy("s", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "ngram-shared")
+    common = cut(met.join(rows.select("__rid", "node", "n"), "__rid").groupBy("s", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "ngram-shared")
     # shingles of one text and its copies go
-    held_by = cut(shared.groupBy("s").agg(F.count("*").alias("texts")).where("texts > 1"), "ngram-shingles")
-    shared = cut(shared.join(held_by, "s"), "ngram-shared")
+    held_by = cut(common.groupBy("s").agg(F.count("*").alias("texts")).where("texts > 1"), "ngram-shingles")
+    shared = cut(common.join(held_by, "s"), "ngram-shared")
+    forget(met, common, held_by)
     nodes = cut(shared.select("node").distinct(), "ngram-nodes")
     reps = cut(rows.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "__rid")).alias("r")).join(nodes, "node", "left_semi").select("node", "r.__rid"), "ngram-reps")
-    sizes = cut(rows.select("node", "__rid", "n", "ranges").join(reps, ["node", "__rid"], "left_semi").drop("__rid"), "ngram-sizes")
+    sizes = cut(rows.select("node", "__rid", "n", "bits").join(reps, ["node", "__rid"], "left_semi").drop("__rid"), "ngram-sizes")
+    members = cut(rows.select("__rid", "doc_id", "node", "n"), "ngram-rows")
+    forget(rows)
     labels = nodes.withColumn("c", F.col("node"))
 
     def near(n, m, i, j):
@@ -222,7 +252,9 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
     first = meeting(few, []).union(with_pivots(many.withColumn("c", F.col("node")), 0)).groupBy("a", "b").agg(F.sum("k").alias("k"))
     first = cut(plausible(first, sizes, share), "ngram-pairs")
     alive = cut(first.select("a").union(first.select("b")).union(many.select("node")).distinct().toDF("node"), "ngram-alive")
-    texts = cut(packed(docs).join(cut(reps.join(alive, "node", "left_semi"), "ngram-wanted"), ["node", "__rid"], "left_semi").drop("__rid"), "ngram-texts")
+    wanted = cut(reps.join(alive, "node", "left_semi"), "ngram-wanted")
+    texts = cut(packed(docs).join(wanted, ["node", "__rid"], "left_semi").drop("__rid"), "ngram-texts")
+    forget(reps, alive, wanted)
     seen = None
 
     def ask(labels, pairs, seen, best):
@@ -236,26 +268,31 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
             apart = top.select("t.a", "t.b", "t.k").distinct()
         asked = cut(apart, "ngram-asked").select("a", "b")
         if asked.isEmpty():
-            return labels, seen, False
-        labels = merge(labels, cut(verified(asked, texts, k, share), "ngram-links"))
-        return labels, asked if seen is None else seen.union(asked), True
+            return labels, seen
+        links = cut(verified(asked, texts, k, share), "ngram-links")
+        labels = merge(labels, links)
+        forget(links)
+        return labels, asked if seen is None else seen.union(asked)
 
     for best in (True, False):
-        labels, seen, _ = ask(labels, first, seen, best)
+        labels, seen = ask(labels, first, seen, best)
     rest = many.drop("texts")
+    forget(first)
+    last = shared
     for r in range(1, PIVOT_ROUNDS + 1):
         # the rows of shingles whose texts lie in several components; a shingle within one is done with for good
         labelled = cut(rest.join(labels, "node"), "ngram-open")
+        forget(last)
         mixed = cut(labelled.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s"), "ngram-mixed")
-        rest = cut(labelled.join(mixed, "s", "left_semi"), "ngram-rest")
-        pairs = with_pivots(rest, r) if r < PIVOT_ROUNDS else meeting(rest, ["c"])
-        labels, seen, _ = ask(labels, plausible(pairs, sizes, share), seen, r < PIVOT_ROUNDS)
-        rest = rest.drop("c")
-    own = rows.where("n > 0").select("node").distinct().join(labels, "node", "left").select("node", F.coalesce("c", "node").alias("c"))
-    labels = cut(own, "ngram-labels")
-    members = cut(rows.select("__rid", "doc_id", "node", "n").join(labels, "node", "left"), "ngram-members")
-    least = members.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    out = members.join(cut(least, "ngram-least"), "c", "left")
+        last = cut(labelled.join(mixed, "s", "left_semi"), "ngram-rest")
+        forget(labelled, mixed)
+        pairs = with_pivots(last, r) if r < PIVOT_ROUNDS else meeting(last, ["c"])
+        labels, seen = ask(labels, plausible(pairs, sizes, share), seen, r < PIVOT_ROUNDS)
+        rest = last.drop("c")
+    own = cut(members.join(labels, "node", "left").withColumn("c", F.when(F.col("n") > 0, F.coalesce("c", "node"))), "ngram-members")
+    least = cut(own.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id")), "ngram-least")
+    forget(last, texts, sizes, members, labels, nodes)
+    out = own.join(least, "c", "left")
     return out.select("__rid", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "c")
 
 
