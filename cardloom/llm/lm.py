@@ -18,8 +18,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 OWN, SHARED = 48, 16
 END, BOS = OWN + SHARED, OWN + SHARED + 1
 WIDTH, CONTEXT, STRIDE, BATCH = 16, 32, 24, 128
-#: One window in TRAIN_EVERY of the training texts, by a hash, trains the attention weights (it grows with the corpus); all counts cover all texts.
-TRAIN_EVERY, ROUNDS, STEP, FEWEST_STEPS, SEED = 64, 3, 0.01, 40, 5
+#: One block of BLOCK words in TRAIN_EVERY of the training texts, by a hash, trains the attention weights (it grows with the corpus); all counts cover all texts.
+BLOCK, TRAIN_EVERY, ROUNDS, STEP, FEWEST_STEPS, SEED = 32, 64, 3, 0.01, 40, 5
 #: The model's share of a class's probability; the rest is the class's share of all training subwords.
 MIXED = 0.95
 MODEL = math.log(MIXED)
@@ -72,7 +72,8 @@ SEES = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))[LEAD:]
 
 def forward(p, x):
     """Logits of the next class at the last STRIDE places of windows x, the logs of their exponentials' sums, and what backward needs."""
-    h = p["E"][x] + p["P"]
+    h = p["E"].take(x.astype(np.intp), 0)
+    h += p["P"]
     flat = h.reshape(-1, WIDTH)
     k, v = (flat @ p["K"]).reshape(h.shape), (flat @ p["V"]).reshape(h.shape)
     late = np.ascontiguousarray(h[:, LEAD:])
@@ -122,20 +123,31 @@ def backward(p, x, target, weight):
     return grad
 
 
-def windows(classes: np.ndarray, every: int = 1, first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(classes: np.ndarray, every: int = 1, first: int = 0, before: np.ndarray | None = None, end: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, targets and the places that count, so that each of classes and the end is a target once: windows overlap,
     and each is scored at its last STRIDE places, after LEAD places of context (starts before the text in the first
-    window). Only each `every`-th window from `first` on is given."""
-    n = len(classes) + 1
+    window, of which `before`, the classes that come before these, takes the last places). Only each `every`-th window
+    from `first` on is given; without `end` the text goes on."""
+    n = len(classes) + end
     count = -(-n // STRIDE)
     seq = np.full(LEAD + count * STRIDE + 1, END, np.int16)
     seq[: LEAD + 1] = BOS
-    seq[LEAD + 1 : LEAD + n] = classes
+    if before is not None and len(before):
+        before = before[-LEAD - 1 :]
+        seq[LEAD + 1 - len(before) : LEAD + 1] = before
+    seq[LEAD + 1 : LEAD + 1 + len(classes)] = classes
     at = (np.arange(first, count, every) * STRIDE)[:, None] + np.arange(CONTEXT)
     late = at[:, LEAD:]
     return seq[at], seq[late + 1], late - LEAD < n
 
 
+def blocks(words: list[bytes], every: int, first: int):
+    """Each `every`-th block of BLOCK words from `first` on: the words of context before it, its words, and whether the text ends with it."""
+    count = max(1, -(-len(words) // BLOCK))
+    for i in range(first, count, every):
+        yield words[max(0, i * BLOCK - LEAD - 1) : i * BLOCK], words[i * BLOCK : (i + 1) * BLOCK], i == count - 1
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """word (binary), c over all rows; each task adds up what it holds before rows are dealt."""
 
@@ -194,10 +206,11 @@ def train(docs: DataFrame, cls: np.ndarray, path: str) -> dict[str, np.ndarray]:
         for b in batches:
             xs, ys, ws = [], [], []
             for rid, t in zip(b.column("__key").to_pylist(), b.column("text").to_pylist(), strict=True):
-                x, y, w = windows(shared.value[s.ids(tokens(t))], TRAIN_EVERY, rid % TRAIN_EVERY)
-                xs += [r.tobytes() for r in x.astype(np.uint8)]
-                ys += [r.tobytes() for r in y.astype(np.uint8)]
-                ws += [r.tobytes() for r in w.astype(np.uint8)]
+                for before, own, end in blocks(tokens(t), TRAIN_EVERY, rid % TRAIN_EVERY):
+                    x, y, w = windows(shared.value[s.ids(own)], before=shared.value[s.ids(before)], end=end)
+                    xs += [r.tobytes() for r in x.astype(np.uint8)]
+                    ys += [r.tobytes() for r in y.astype(np.uint8)]
+                    ws += [r.tobytes() for r in w.astype(np.uint8)]
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary()), pa.array(ws, pa.binary())], names=["x", "y", "w"])
 
     held = cut(docs.select(F.pmod(F.xxhash64("doc_id", "text", "__rid"), F.lit(1 << 20)).alias("__key"), F.col("text").cast("binary").alias("text")).mapInArrow(gather, "x binary, y binary, w binary"), "lm-windows")
