@@ -18,6 +18,8 @@ FREQUENT, CHUNK, LEAST_IN_CHUNK = 50_000, 1 << 20, 4
 FEW, PIVOT_ROUNDS = 6, 5
 #: Bins of parities for each shingle, and the most in all.
 BINS, MOST_BINS = 4, 1 << 17
+#: Bins of the sketches that pairs are filtered by first, in words of 64.
+SKETCH = 1024
 A, B, ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(31)
 
 
@@ -62,6 +64,11 @@ def parities(x: np.ndarray) -> bytes:
     return np.packbits(np.bincount(x & (bins - 1), minlength=bins) & 1).tobytes()
 
 
+def sketch(x: np.ndarray) -> np.ndarray:
+    """Parities of the counts of shingle hashes in SKETCH bins, as 64-bit words."""
+    return np.packbits(np.bincount(x & (SKETCH - 1), minlength=SKETCH) & 1).view(np.int64)
+
+
 def unlike(a: bytes, b: bytes) -> int:
     """In how many bins parities differ: at most as many shingles are in one of both sets alone. The longer is folded to the other's bins."""
     while len(a) != len(b):
@@ -103,14 +110,14 @@ def frequent(docs: DataFrame, k: int) -> dict[int, int]:
 
 
 def prefixes(docs: DataFrame, order: dict[int, int], k: int, share: int) -> DataFrame:
-    """For each row: __rid, doc_id, node (its text's hash), n (set size), prefix (its first shingles, rare first), light (how many of those aren't frequent), bits (the parities of its shingles)."""
+    """For each row: __rid, doc_id, node (its text's hash), n (set size), prefix (its first shingles, rare first), light (how many of those aren't frequent), bits and sketch (the parities of its shingles)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((np.array(sorted(order), np.int64), np.array([order[h] for h in sorted(order)], np.int64)))
 
     def run(batches):
         s, (hs, cs) = Shingler(k), shared.value
         for b in batches:
-            n, light, prefix, bits = [], [], [], []
+            n, light, prefix, bits, words = [], [], [], [], []
             for t in b.column("text").to_pylist():
                 x = s.shingles(t)
                 p = len(x) + 1 - -(-share * len(x) // 100) if len(x) else 0
@@ -123,12 +130,13 @@ def prefixes(docs: DataFrame, order: dict[int, int], k: int, share: int) -> Data
                     first, ll = x[:p], p
                 n.append(len(x))
                 bits.append(parities(x) if len(x) else b"")
+                words.append(sketch(x))
                 light.append(ll)
                 prefix.append(first)
-            yield pa.RecordBatch.from_arrays([b.column("__rid"), b.column("doc_id"), b.column("node"), pa.array(n, pa.int64()), pa.array(light, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["__rid", "doc_id", "node", "n", "light", "prefix", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column("__rid"), b.column("doc_id"), b.column("node"), pa.array(n, pa.int64()), pa.array(light, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary()), pa.array(words, pa.list_(pa.int64()))], names=["__rid", "doc_id", "node", "n", "light", "prefix", "bits", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("__rid", "doc_id", "node", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"__rid long, doc_id {kind}, node long, n long, light int, prefix array<long>, bits binary")
+    return docs.select("__rid", "doc_id", "node", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"__rid long, doc_id {kind}, node long, n long, light int, prefix array<long>, bits binary, sketch array<long>")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -163,7 +171,11 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, share: int) -> DataFram
 
 
 def plausible(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
-    """Suffix filter: of pairs (a, b, k) those whose parities allow sets that differ in as few shingles as a link needs."""
+    """Suffix filter: of pairs (a, b, k) those whose parities allow sets that differ in as few shingles as a link needs; short sketches first, so that few pairs carry long ones."""
+    side = lambda x, own: sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col(own).alias(f"r{x}"))
+    differ = sum((F.bit_count(F.col("ra")[i].bitwiseXOR(F.col("rb")[i])) for i in range(SKETCH // 64)), F.lit(0))
+    most = F.col("na") + F.col("nb") - 2 * required(F.col("na"), F.col("nb"), share)
+    pairs = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b").where(differ <= most).select("a", "b", "k")
 
     def run(batches):
         for batch in batches:
@@ -173,9 +185,7 @@ def plausible(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
                 keep.append(unlike(x, y) <= n + m - 2 * need)
             yield batch.select(["a", "b", "k"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sizes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ra"))
-    two = sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("rb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "k", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long, k long")
+    return pairs.join(side("a", "bits"), "a").join(side("b", "bits"), "b").select("a", "b", "k", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long, k long")
 
 
 def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -223,7 +233,7 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
     forget(met, common, held_by)
     nodes = cut(shared.select("node").distinct(), "ngram-nodes")
     reps = cut(rows.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "__rid")).alias("r")).join(nodes, "node", "left_semi").select("node", "r.__rid"), "ngram-reps")
-    sizes = cut(rows.select("node", "__rid", "n", "bits").join(reps, ["node", "__rid"], "left_semi").drop("__rid"), "ngram-sizes")
+    sizes = cut(rows.select("node", "__rid", "n", "bits", "sketch").join(reps, ["node", "__rid"], "left_semi").drop("__rid"), "ngram-sizes")
     members = cut(rows.select("__rid", "doc_id", "node", "n"), "ngram-rows")
     forget(rows)
     labels = nodes.withColumn("c", F.col("node"))
@@ -233,12 +243,13 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
         need = required(n, m, share)
         return (F.least(n, m) * 100 >= F.greatest(n, m) * share) & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= need)
 
-    def meeting(rows, apart):
-        """Pairs a < b of texts that share a shingle, with how many, each once."""
-        one, two = (rows.select("s", *[F.col(x).alias(f"{x}{i}") for x in ("node", "n", "pos", *apart)]) for i in (1, 2))
+    def meeting(rows):
+        """Pairs a < b of texts that share a shingle, with how many, each once. Rows with c pair over two components only."""
+        kept = [x for x in ("node", "n", "pos", "c") if x in rows.columns]
+        one, two = (rows.select("s", *[F.col(x).alias(f"{x}{i}") for x in kept]) for i in (1, 2))
         both = one.join(two, "s").where((F.col("node1") < F.col("node2")) & near(F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2")))
-        for x in apart:
-            both = both.where(F.col(f"{x}1") != F.col(f"{x}2"))
+        if "c" in kept:
+            both = both.where(F.col("c1") != F.col("c2"))
         return both.groupBy(F.col("node1").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("k"))
 
     def with_pivots(open_, r):
@@ -249,7 +260,7 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
         return pairs.groupBy(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).agg(F.count("*").alias("k"))
 
     few, many = shared.where(F.col("texts") <= FEW), shared.where(F.col("texts") > FEW)
-    first = meeting(few, []).union(with_pivots(many.withColumn("c", F.col("node")), 0)).groupBy("a", "b").agg(F.sum("k").alias("k"))
+    first = meeting(few).union(with_pivots(many.withColumn("c", F.col("node")), 0)).groupBy("a", "b").agg(F.sum("k").alias("k"))
     first = cut(plausible(first, sizes, share), "ngram-pairs")
     alive = cut(first.select("a").union(first.select("b")).union(many.select("node")).distinct().toDF("node"), "ngram-alive")
     wanted = cut(reps.join(alive, "node", "left_semi"), "ngram-wanted")
@@ -286,7 +297,7 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
         mixed = cut(labelled.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s"), "ngram-mixed")
         last = cut(labelled.join(mixed, "s", "left_semi"), "ngram-rest")
         forget(labelled, mixed)
-        pairs = with_pivots(last, r) if r < PIVOT_ROUNDS else meeting(last, ["c"])
+        pairs = with_pivots(last, r) if r < PIVOT_ROUNDS else meeting(last)
         labels, seen = ask(labels, plausible(pairs, sizes, share), seen, r < PIVOT_ROUNDS)
         rest = last.drop("c")
     own = cut(members.join(labels, "node", "left").withColumn("c", F.when(F.col("n") > 0, F.coalesce("c", "node"))), "ngram-members")

@@ -321,6 +321,36 @@ def test_lm_model():
     assert np.allclose(a[:, : 20 - lm.LEAD], b[:, : 20 - lm.LEAD]) and not np.allclose(a, b) and np.allclose(np.exp(a).sum(-1), 1)
 
 
+def test_lm_blocks():
+    """Blocks with their context give each word's class and the end once, after the classes before it."""
+    for n in (0, 1, 31, 32, 33, 64, 200):
+        words = [b"%d" % i for i in range(n)]
+        ends, own = 0, []
+        for i in range(3):
+            for before, block, end in lm.blocks(words, 3, i):
+                own += block
+                ends += end
+                c = np.array([int(x) % 60 for x in block], np.int16)
+                b = np.array([int(x) % 60 for x in before], np.int16)
+                x, y, w = lm.windows(c, before=b, end=end)
+                assert list(y[w]) == [*c, *[lm.END] * end]
+                if before:
+                    assert [*x[0, : lm.LEAD + 1]] == [*b]
+        assert sorted(own) == sorted(words) and ends == 1
+
+
+def test_parities_bound_differences():
+    """Bins whose parities differ are never more than the shingles that differ, for sets of unlike sizes too."""
+    r = np.random.default_rng(3)
+    for n, m in ((1, 1), (5, 40), (300, 300), (300, 900), (40_000, 70_000)):
+        common = r.integers(-(2**62), 2**62, min(n, m) // 2)
+        a, b = (np.unique(np.concatenate([common, r.integers(-(2**62), 2**62, k - len(common))])) for k in (n, m))
+        differ = len(np.setxor1d(a, b))
+        assert ngram_join.unlike(ngram_join.parities(a), ngram_join.parities(b)) <= differ
+        assert ngram_join.unlike(ngram_join.parities(a), ngram_join.parities(a)) == 0
+        assert sum(int(x).bit_count() for x in (ngram_join.sketch(a) ^ ngram_join.sketch(b)).view(np.uint64)) <= differ
+
+
 def test_lm_windows():
     for n in (0, 1, 23, 24, 25, 300):
         seq = np.arange(n).astype(np.int16) % 50
