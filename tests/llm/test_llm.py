@@ -279,6 +279,34 @@ def test_lines(spark, none):
     assert lines.dedup_lines(none).count() == 0
 
 
+def test_lines_runs(spark):
+    """A repeated run of over 50 words goes whatever stands around it, one line or many, the run's ends included; first copies, runs of 50 words and overlaps with the first stay."""
+    r = random.Random(6)
+    line = lambda n: " ".join(f"l{r.randrange(10**9)}" for _ in range(n))
+    own = lambda: [line(r.randrange(1, 30)) for _ in range(r.randrange(1, 6))]
+    data, want, i = [], {}, 0
+    for sizes in ([51], [80], [30, 30], [5, 46], [46, 5], [5, 30, 30], [30, 30, 5], [20, 20, 20], [60, 1, 60], [13] * 4, [11] * 5, [1] * 51):
+        passage = [line(n) for n in sizes]
+        for copy in range(6):
+            a, b = own(), own()
+            text = a + (passage[:1] + [" "] * copy + passage[1:] if copy < 3 and len(passage) > 1 else passage) + b
+            data.append((i, "\n".join(text)))
+            want[i] = "\n".join(a + b) if copy else "\n".join(text)
+            i += 1
+    single = line(50)
+    for copy in range(2):  # one line of 50 words isn't over the limit; it stands between own lines
+        data.append((i, f"{line(3)}\n{single}\n{line(4)}"))
+        want[i] = data[-1][1]
+        i += 1
+    whole = line(60)
+    data += [(i, whole), (i + 1, whole), (i + 2, "\n".join([line(30)] * 3)), (i + 3, None)]
+    want |= {i: whole, i + 1: "", i + 3: None}
+    got = {x.doc_id: x for x in lines.dedup_lines(cut(spark.createDataFrame(data, "doc_id long, text string").repartition(3), "runs")).collect()}
+    for k, clean in want.items():
+        assert got[k].clean == clean, k
+    assert got[i + 1].n_removed_lines == got[i + 1].n_removed == 1
+
+
 def test_lm_base(docs, rows, none):
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
     out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
