@@ -110,10 +110,31 @@ def op8_quality(spark, sf_dir) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_line_words")
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, whole, in their own columns."""
-    verdicts = cut(judge(docs).where("kept").select("__rid"), "quality-kept")
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(verdicts, "__rid", "left_semi").drop("__rid")
+def without_lines(text: bytes, removed: set[int]) -> bytes:
+    """The text without the lines whose hash, as in figures(), is removed."""
+
+    def stays(line):
+        w = line.split()
+        return not w or xxhash.xxh3_64_intdigest(b" ".join(w).lower()) - (1 << 63) not in removed
+
+    return b"\n".join(filter(stays, text.split(b"\n")))
+
+
+def keep_good(docs: DataFrame, **limits) -> DataFrame:
+    """The documents that the rules keep, without the lines over the limits, in their own columns; n_chars follows a text that changed."""
+    verdicts = cut(judge(docs, **limits).where("kept").select("__rid", F.col("removed").alias("__removed")), "quality-kept")
+    rows = docs.withColumn("__rid", F.monotonically_increasing_id()).join(verdicts, "__rid").drop("__rid").withColumn("text", F.col("text").cast("binary"))
+
+    def run(batches):
+        for b in batches:
+            at = b.schema.get_field_index("text")
+            texts = [t if not gone else without_lines(t, set(gone)) for t, gone in zip(b.column(at).to_pylist(), b.column("__removed").to_pylist(), strict=True)]
+            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
+
+    out = rows.mapInArrow(run, rows.schema).withColumn("text", F.col("text").cast("string"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("__removed").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
 
 
 OP8_SQL = f"""

@@ -14,7 +14,7 @@ from cardloom.llm.common import cut, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the shared lines reject go; the others stay as they are."""
+    """Documents that the base rules or the shared lines reject go; the others stay without the shared lines."""
     return quality.keep_good(docs)
 
 

@@ -238,6 +238,20 @@ def test_quality_lines(spark):
     assert got[300].n_line_words == 60 and not got[300].kept
 
 
+def test_quality_removes_lines(spark):
+    """Kept documents lose the lines over the limits, however they are written, and no others; n_chars follows."""
+    own = lambda i: " ".join(f"o{i}é{j}" for j in range(30))
+    data = [(i, f"{own(i)}\n\n  shared  Footer line\nend {i}" if i % 2 else f"Shared footer line\n{own(i)}", "a", 7) for i in range(40)]
+    data += [(100, f"Shared footer line\n{own(100)}", "b", 7), (101, "Shared footer line\n" * 30 + own(101)[:20], "a", 7)]
+    df = cut(spark.createDataFrame(data, "doc_id long, text string, source string, n_chars int"), "shared-lines")
+    out = quality.keep_good(df, most_share=0.0)
+    got = {r.doc_id: r for r in out.collect()}
+    assert out.schema == df.schema and set(got) == {*range(40), 100}
+    for i in range(40):
+        assert got[i].text == (f"{own(i)}\n\nend {i}" if i % 2 else own(i)) and got[i].n_chars == len(got[i].text)
+    assert got[100].text == data[40][1] and got[100].n_chars == 7
+
+
 def test_licenses(spark, none):
     t = licenses.TEMPLATES
     data = [(1, f"abc\n{t['MIT']}\nxyz"), (2, "Licensed under the apache   license, version 2.0"), (3, "licensed things are here and there"), (4, None), (5, ""), (6, "w " * 50000), (7, t["GPL-3.0"].replace(" ", "\n"))]
