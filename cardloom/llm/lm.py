@@ -18,8 +18,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 OWN, SHARED = 48, 16
 END, BOS = OWN + SHARED, OWN + SHARED + 1
 WIDTH, CONTEXT, STRIDE, BATCH = 16, 32, 24, 128
-#: One block of BLOCK words in TRAIN_EVERY of the training texts, by a hash, trains the attention weights (it grows with the corpus); all counts cover all texts.
-BLOCK, TRAIN_EVERY, ROUNDS, STEP, FEWEST_STEPS, SEED = 32, 64, 3, 0.01, 40, 5
+#: Every block of BLOCK words of the training texts trains the attention weights, in each round.
+BLOCK, ROUNDS, STEP, FEWEST_STEPS, SEED = 32, 3, 0.01, 40, 5
 #: The model's share of a class's probability; the rest is the class's share of all training subwords.
 MIXED = 0.95
 MODEL = math.log(MIXED)
@@ -203,17 +203,18 @@ def train(docs: DataFrame, cls: np.ndarray, path: str) -> dict[str, np.ndarray]:
 
     def gather(batches):
         s = Subwords(path)
-        for b in batches:
-            xs, ys, ws = [], [], []
-            for rid, t in zip(b.column("__key").to_pylist(), b.column("text").to_pylist(), strict=True):
-                for before, own, end in blocks(tokens(t), TRAIN_EVERY, rid % TRAIN_EVERY):
-                    x, y, w = windows(shared.value[s.ids(own)], before=shared.value[s.ids(before)], end=end)
-                    xs += [r.tobytes() for r in x.astype(np.uint8)]
-                    ys += [r.tobytes() for r in y.astype(np.uint8)]
-                    ws += [r.tobytes() for r in w.astype(np.uint8)]
-            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary()), pa.array(ws, pa.binary())], names=["x", "y", "w"])
-
-    held = cut(docs.select(F.pmod(F.xxhash64("doc_id", "text", "__rid"), F.lit(1 << 20)).alias("__key"), F.col("text").cast("binary").alias("text")).mapInArrow(gather, "x binary, y binary, w binary"), "lm-windows")
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                xs, ys, ws = [], [], []
+                for t in whole.column("text").slice(lo, 256).to_pylist():
+                    for before, own, end in blocks(tokens(t), 1, 0):
+                        x, y, w = windows(shared.value[s.ids(own)], before=shared.value[s.ids(before)], end=end)
+                        xs += [r.tobytes() for r in x.astype(np.uint8)]
+                        ys += [r.tobytes() for r in y.astype(np.uint8)]
+                        ws += [r.tobytes() for r in w.astype(np.uint8)]
+                yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary()), pa.array(ws, pa.binary())], names=["x", "y", "w"])
+
+    held = cut(docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(gather, "x binary, y binary, w binary"), "lm-windows")
     p = start()
     names, shapes = list(p), {k: v.shape for k, v in p.items()}
     for r in range(ROUNDS):
@@ -222,16 +223,26 @@ def train(docs: DataFrame, cls: np.ndarray, path: str) -> dict[str, np.ndarray]:
         def learn(batches, now=now, r=r):
             p = {k: v.copy() for k, v in now.value.items()}
             m, v, n, t = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0, 0
+            few = []
+
+            def step(x, y, w):
+                nonlocal t
+                t += 1
+                for k, g in backward(p, x, y, w).items():
+                    m[k] = 0.9 * m[k] + 0.1 * g
+                    v[k] = 0.99 * v[k] + 0.01 * g * g
+                    p[k] = (p[k] - STEP / (1 + r) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+
             for b in batches:
                 data = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, width) for c, width in (("x", CONTEXT), ("y", STRIDE), ("w", STRIDE))]
                 n += len(data[0])
-                for i in [*range(0, len(data[0]), 256)] * max(1, -(-FEWEST_STEPS * 256 // max(len(data[0]), 256))):  # few windows are gone over again
-                    x, y, w = (a[i : i + 256] for a in data)
-                    t += 1
-                    for k, g in backward(p, x, y, w).items():
-                        m[k] = 0.9 * m[k] + 0.1 * g
-                        v[k] = 0.99 * v[k] + 0.01 * g * g
-                        p[k] = (p[k] - STEP / (1 + r) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+                for i in range(0, len(data[0]), 256):
+                    part = [a[i : i + 256] for a in data]
+                    if t < FEWEST_STEPS:
+                        few.append(part)
+                    step(*part)
+            for i in range(FEWEST_STEPS - t if n else 0):  # few windows are gone over again
+                step(*few[i % len(few)])
             if n:
                 flat = np.concatenate([x.ravel() for x in p.values()]).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * n), pa.array(np.full(len(flat), float(n)))], names=["i", "v", "n"])

@@ -410,6 +410,20 @@ def test_lm_learns(spark):
     assert uniform_score > -1.0  # an untrained model gives about -1.8 a subword
 
 
+def test_lm_trains_on_all(spark, monkeypatch):
+    """Every subword and end of the training texts is a target of the attention weights' training."""
+    r = random.Random(8)
+    data = [(i, " ".join(f"w{r.randrange(50)}" for _ in range(n))) for i, n in enumerate([0, 1, 20, 31, 32, 33, 70, 500])]
+    held = []
+    monkeypatch.setattr(lm, "cut", lambda df, tag: held.append(c := cut(df, tag)) or c)
+    cls, _ = lm.classes_of(np.zeros(1 << 16, np.int64))
+    lm.train(spark.createDataFrame([(i, t, i) for i, t in data], "doc_id long, text string, __rid long"), cls, lm.TOKENIZER)
+    got = collections.Counter(c for row in held[0].collect() for c, w in zip(row.y, row.w, strict=True) if w)
+    s = lm.Subwords(lm.TOKENIZER)
+    want = collections.Counter(int(c) for _, t in data for c in cls[s.ids(lm.tokens(t.encode()))]) + collections.Counter({lm.END: len(data)})
+    assert got == want
+
+
 def test_pipeline(spark, tmp_path, rows):
     import corpus_pipeline
 
