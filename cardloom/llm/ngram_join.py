@@ -15,7 +15,7 @@ WORDS, SHARE = 5, 75
 #: The frequent shingles that the order puts last: at most so many, from counts within chunks of CHUNK shingles.
 FREQUENT, CHUNK, LEAST_IN_CHUNK = 50_000, 1 << 20, 4
 #: A shingle of up to FEW texts has all its pairs looked at; the texts of others meet pivots first, in so many rounds.
-FEW, PIVOT_ROUNDS = 6, 5
+FEW, PIVOT_ROUNDS = 6, 4
 #: Bins of parities for each shingle, and the most in all.
 BINS, MOST_BINS = 4, 1 << 17
 #: Bins of the sketches that pairs are filtered by first, in words of 64.
@@ -170,12 +170,17 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, share: int) -> DataFram
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def plausible(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
-    """Suffix filter: of pairs (a, b, k) those whose parities allow sets that differ in as few shingles as a link needs; short sketches first, so that few pairs carry long ones."""
+def alike(x: str, y: str, n: Column, m: Column, share: int) -> Column:
+    """Suffix filter on sketches x and y of sets of n and m: they may differ in no more bins than linked sets in shingles."""
+    differ = sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH // 64)), F.lit(0))
+    return differ <= n + m - 2 * required(n, m, share)
+
+
+def plausible(pairs: DataFrame, sizes: DataFrame, share: int, sketched: bool = False) -> DataFrame:
+    """Suffix filter: of pairs (a, b, k) those whose parities allow sets that differ in as few shingles as a link needs; short sketches first (unless the pairs were made by them), so that few pairs carry long ones."""
     side = lambda x, own: sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col(own).alias(f"r{x}"))
-    differ = sum((F.bit_count(F.col("ra")[i].bitwiseXOR(F.col("rb")[i])) for i in range(SKETCH // 64)), F.lit(0))
-    most = F.col("na") + F.col("nb") - 2 * required(F.col("na"), F.col("nb"), share)
-    pairs = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b").where(differ <= most).select("a", "b", "k")
+    if not sketched:
+        pairs = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b").where(alike("ra", "rb", F.col("na"), F.col("nb"), share)).select("a", "b", "k")
 
     def run(batches):
         for batch in batches:
@@ -207,11 +212,20 @@ def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     return labels
 
 
+def told_apart(docs: DataFrame) -> DataFrame:
+    """docs with node, a 64-bit hash of the text. Texts that share it but not a second hash get nodes of their own, so only 128 equal bits make texts one."""
+    both = docs.withColumns({"node": F.xxhash64("text"), "__other": F.xxhash64(F.lit(1), F.col("text"))})
+    clash = cut(both.groupBy("node").agg(F.min("__other").alias("lo"), F.max("__other").alias("hi")).where("lo <> hi").select("node", F.lit(True).alias("__clash")), "ngram-clash")
+    if not clash.isEmpty():
+        both = both.join(clash, "node", "left").withColumn("node", F.when(F.col("__clash"), F.xxhash64("node", "__other")).otherwise(F.col("node"))).drop("__clash")
+    return both.drop("__other")
+
+
 def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame:
     """For each row of docs(doc_id, text): __rid, doc_id, n_shingles, component_id (the least doc_id reachable by links, itself included).
 
     Two texts link when 100 * |A & B| >= share * |A | B| over their sets of distinct k-word shingles (64-bit hashes;
-    A-Z lower-cased). Equal texts are one node and are never paired. Shingles are ordered rare first; two linked texts
+    A-Z lower-cased). Equal texts (by 128 bits of hashes) are one node and are never paired. Shingles are ordered rare first; two linked texts
     share one within their prefixes. A shingle of up to FEW texts has all its pairs looked at. Of a more common one's
     texts one is the pivot; the others meet it, in rounds with other pivots, and a pair already joined by links isn't
     looked at again. The last round takes all pairs of a shingle that are still in two components. All pairs pass
@@ -219,7 +233,7 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
     a shingle's texts are split over tasks by the join. Null and empty texts have no shingles and link with
     nothing; null doc_ids are ignored as component ids unless there is no other; repeated rows share a component.
     """
-    docs = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("__rid"), F.xxhash64("text").alias("node"))
+    docs = told_apart(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("__rid")))
     rows = cut(prefixes(docs, frequent(docs, k), k, share), "ngram-prefixes")
     flat = rows.where("n > 0").select("__rid", "light", F.posexplode("prefix").alias("pos", "s"))
     w = Window.partitionBy("s")
@@ -244,19 +258,22 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
         return (F.least(n, m) * 100 >= F.greatest(n, m) * share) & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= need)
 
     def meeting(rows):
-        """Pairs a < b of texts that share a shingle, with how many, each once. Rows with c pair over two components only."""
-        kept = [x for x in ("node", "n", "pos", "c") if x in rows.columns]
+        """Pairs a < b of texts that share a shingle, with how many, each once. Rows with c and sketch pair over two components only and where the sketches allow a link: both are conditions of the join, so that a group's hopeless pairs are never rows."""
+        kept = [x for x in ("node", "n", "pos", "c", "sketch") if x in rows.columns]
         one, two = (rows.select("s", *[F.col(x).alias(f"{x}{i}") for x in kept]) for i in (1, 2))
         both = one.join(two, "s").where((F.col("node1") < F.col("node2")) & near(F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2")))
         if "c" in kept:
-            both = both.where(F.col("c1") != F.col("c2"))
+            both = both.where((F.col("c1") != F.col("c2")) & alike("sketch1", "sketch2", F.col("n1"), F.col("n2"), share))
         return both.groupBy(F.col("node1").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("k"))
 
     def with_pivots(open_, r):
-        """Pairs of texts with their shingles' pivots, where the two lie in different components."""
-        pivot = F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("rank"), F.col("node"), F.col("n"), F.col("pos"), F.col("c")))
+        """Pairs of texts with their shingles' pivots, where the two lie in different components (and their sketches, if given, allow a link)."""
+        kept = [x for x in ("node", "n", "pos", "c", "sketch") if x in open_.columns]
+        pivot = F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("rank"), *kept))
         mixed = cut(open_.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), pivot.alias("p")).where("lo <> hi").select("s", "p"), "ngram-pivots")
         pairs = open_.join(mixed, "s").where((F.col("c") != F.col("p.c")) & near(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos")))
+        if "sketch" in kept:
+            pairs = pairs.where(alike("sketch", "p.sketch", F.col("n"), F.col("p.n"), share))
         return pairs.groupBy(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).agg(F.count("*").alias("k"))
 
     few, many = shared.where(F.col("texts") <= FEW), shared.where(F.col("texts") > FEW)
@@ -295,10 +312,14 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
         labelled = cut(rest.join(labels, "node"), "ngram-open")
         forget(last)
         mixed = cut(labelled.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s"), "ngram-mixed")
-        last = cut(labelled.join(mixed, "s", "left_semi"), "ngram-rest")
+        last = labelled.join(mixed, "s", "left_semi")
+        last = cut(last if r > 1 else last.join(sizes.select("node", "sketch"), "node"), "ngram-rest")
         forget(labelled, mixed)
         pairs = with_pivots(last, r) if r < PIVOT_ROUNDS else meeting(last)
-        labels, seen = ask(labels, plausible(pairs, sizes, share), seen, r < PIVOT_ROUNDS)
+        pairs = cut(plausible(pairs, sizes, share, sketched=True), "ngram-pairs")
+        for best in (True, False) if r == PIVOT_ROUNDS else (True,):
+            labels, seen = ask(labels, pairs, seen, best)
+        forget(pairs)
         rest = last.drop("c")
     own = cut(members.join(labels, "node", "left").withColumn("c", F.when(F.col("n") > 0, F.coalesce("c", "node"))), "ngram-members")
     least = cut(own.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id")), "ngram-least")
