@@ -15,7 +15,7 @@ WORDS, SHARE = 5, 75
 #: The frequent shingles that the order puts last: at most so many, from counts within chunks of CHUNK shingles.
 FREQUENT, CHUNK, LEAST_IN_CHUNK = 50_000, 1 << 20, 4
 #: A shingle of up to FEW texts has all its pairs looked at; the texts of others meet pivots first, in so many rounds.
-FEW, PIVOT_ROUNDS = 6, 4
+FEW, PIVOT_ROUNDS = 6, 3
 #: Bins of parities for each shingle, and the most in all.
 BINS, MOST_BINS = 4, 1 << 17
 #: Bins of the sketches that pairs are filtered by first, in words of 64.
@@ -166,8 +166,9 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, share: int) -> DataFram
                 keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= need)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left, right = texts.select(F.col("node").alias("a"), F.col("z").alias("x")), texts.select(F.col("node").alias("b"), F.col("z").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    # only texts that are asked for are dealt: where pairs are few, their nodes are broadcast
+    side = lambda node, text: texts.join(pairs.select(F.col(node).alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias(node), F.col("z").alias(text))
+    return pairs.select("a", "b").join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def alike(x: str, y: str, n: Column, m: Column, share: int) -> Column:
@@ -228,7 +229,7 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
     A-Z lower-cased). Equal texts (by 128 bits of hashes) are one node and are never paired. Shingles are ordered rare first; two linked texts
     share one within their prefixes. A shingle of up to FEW texts has all its pairs looked at. Of a more common one's
     texts one is the pivot; the others meet it, in rounds with other pivots, and a pair already joined by links isn't
-    looked at again. The last round takes all pairs of a shingle that are still in two components. All pairs pass
+    looked at again. The last round takes all pairs of a shingle that are still in two components and whose sketches allow a link. All pairs pass
     the length, position and suffix filters first and are verified once: no link between components is lost. No cap:
     a shingle's texts are split over tasks by the join. Null and empty texts have no shingles and link with
     nothing; null doc_ids are ignored as component ids unless there is no other; repeated rows share a component.
@@ -258,22 +259,21 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
         return (F.least(n, m) * 100 >= F.greatest(n, m) * share) & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= need)
 
     def meeting(rows):
-        """Pairs a < b of texts that share a shingle, with how many, each once. Rows with c and sketch pair over two components only and where the sketches allow a link: both are conditions of the join, so that a group's hopeless pairs are never rows."""
-        kept = [x for x in ("node", "n", "pos", "c", "sketch") if x in rows.columns]
+        """Pairs a < b of texts that share a shingle, with how many, each once. Rows with c, sketch and prev (the text's shingle before this one) pair over two components
+        only, where the sketches allow a link, and not at a shingle that follows another that both share, as near copies share
+        runs of them: the first of the run has the pair. All are conditions of the join, so that a group's hopeless pairs are never rows."""
+        kept = [x for x in ("node", "n", "pos", "c", "sketch", "prev") if x in rows.columns]
         one, two = (rows.select("s", *[F.col(x).alias(f"{x}{i}") for x in kept]) for i in (1, 2))
         both = one.join(two, "s").where((F.col("node1") < F.col("node2")) & near(F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2")))
         if "c" in kept:
-            both = both.where((F.col("c1") != F.col("c2")) & alike("sketch1", "sketch2", F.col("n1"), F.col("n2"), share))
+            both = both.where((F.col("c1") != F.col("c2")) & F.coalesce(F.col("prev1") != F.col("prev2"), F.lit(True)) & alike("sketch1", "sketch2", F.col("n1"), F.col("n2"), share))
         return both.groupBy(F.col("node1").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("k"))
 
     def with_pivots(open_, r):
-        """Pairs of texts with their shingles' pivots, where the two lie in different components (and their sketches, if given, allow a link)."""
-        kept = [x for x in ("node", "n", "pos", "c", "sketch") if x in open_.columns]
-        pivot = F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("rank"), *kept))
+        """Pairs of texts with their shingles' pivots, where the two lie in different components."""
+        pivot = F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("rank"), "node", "n", "pos", "c"))
         mixed = cut(open_.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), pivot.alias("p")).where("lo <> hi").select("s", "p"), "ngram-pivots")
         pairs = open_.join(mixed, "s").where((F.col("c") != F.col("p.c")) & near(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos")))
-        if "sketch" in kept:
-            pairs = pairs.where(alike("sketch", "p.sketch", F.col("n"), F.col("p.n"), share))
         return pairs.groupBy(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).agg(F.count("*").alias("k"))
 
     few, many = shared.where(F.col("texts") <= FEW), shared.where(F.col("texts") > FEW)
@@ -312,15 +312,20 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
         labelled = cut(rest.join(labels, "node"), "ngram-open")
         forget(last)
         mixed = cut(labelled.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s"), "ngram-mixed")
-        last = labelled.join(mixed, "s", "left_semi")
-        last = cut(last if r > 1 else last.join(sizes.select("node", "sketch"), "node"), "ngram-rest")
+        last = cut(labelled.join(mixed, "s", "left_semi"), "ngram-rest")
         forget(labelled, mixed)
-        pairs = with_pivots(last, r) if r < PIVOT_ROUNDS else meeting(last)
-        pairs = cut(plausible(pairs, sizes, share, sketched=True), "ngram-pairs")
-        for best in (True, False) if r == PIVOT_ROUNDS else (True,):
+        rest = last.drop("c")
+        if r < PIVOT_ROUNDS:
+            pairs = cut(with_pivots(last, r), "ngram-pairs")
+            labels, seen = ask(labels, plausible(pairs, sizes, share), seen, True)
+            forget(pairs)
+            continue
+        before = F.lag("s").over(Window.partitionBy("node").orderBy("pos", "s"))  # a text has no more rows than its prefix has shingles
+        sketched = last.withColumn("prev", before).join(sizes.select("node", "sketch"), "node")
+        pairs = cut(plausible(meeting(sketched), sizes, share, sketched=True), "ngram-pairs")
+        for best in (True, False):
             labels, seen = ask(labels, pairs, seen, best)
         forget(pairs)
-        rest = last.drop("c")
     own = cut(members.join(labels, "node", "left").withColumn("c", F.when(F.col("n") > 0, F.coalesce("c", "node"))), "ngram-members")
     least = cut(own.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id")), "ngram-least")
     forget(last, texts, sizes, members, labels, nodes)
