@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from .common import table
+from .common import cut, table, with_text
 
 WINDOW = 13
-#: Items whose texts are searched at once; a larger benchmark is searched in blocks.
-BLOCK_BYTES = 32 << 20
+#: Items whose texts are searched at once; a larger benchmark is searched in blocks. A byte of text costs about 120 in a searcher's tables.
+BLOCK_BYTES = 1 << 20
+FIGURES, HITS = "n_words long, n_hit long, items array<string>", "hit binary, names array<string>"
 #: Words are digits, a-z and all that isn't ASCII; A-Z lower-cased, the rest of ASCII is space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -69,58 +68,44 @@ class Searcher:
         return hit, names
 
 
-def blocks(benchmark: DataFrame, most: int) -> list[list]:
-    """Items in blocks of at most `most` bytes, one longer item alone. toLocalIterator holds one partition at a time."""
-    out, held = [[]], 0
-    for r in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("binary").alias("t")).toLocalIterator():
-        size = len(r.t or b"")
-        if out[-1] and held + size > most:
-            out.append([])
-            held = 0
-        out[-1].append((r.i, bytes(r.t) if r.t is not None else None))
-        held += size
-    return out
-
-
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with n_words, n_hit, n_items, items (sorted), contaminated.
 
     Words are compared after lower-casing A-Z. Null and empty texts have no words. A null item_id counts as the item
-    named by the empty string; repeated ids are one item. Columns of docs that clash are replaced. The benchmark's
-    size is checked: over block_bytes, the documents are searched in several passes of one block each, one after the
-    other, and each pass adds to the hit words that the last one left. No rows are shuffled.
+    named by the empty string; repeated ids are one item. An empty benchmark contaminates nothing, empty docs give no
+    rows; repeated rows are searched each. Columns of docs that clash are replaced.
+
+    The benchmark's size is checked: up to block_bytes it is one block, searched in the documents' own rows without a
+    shuffle. A larger one is dealt by hash into blocks of about half of that; each is fetched, broadcast, searched and let go in a job of
+    its own, so one block's tables are in memory at a time, and the hit words of all blocks are put together at the end.
     """
-    spark = docs.sparkSession
-    added = ["n_words", "n_hit", "n_items", "items", "contaminated", "__hit"]
-    docs = docs.drop(*added).withColumn("__hit", F.lit(None).cast("binary")).withColumn("items", F.array().cast("array<string>"))
-    for block in blocks(benchmark, block_bytes):
-        docs = search(docs, spark.sparkContext.broadcast(block), window)
-    return docs.withColumn("n_items", F.size("items").cast("long")).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words")).drop("__hit")
-
-
-def search(docs: DataFrame, block, window: int) -> DataFrame:
-    """One pass: __hit (a byte for each word) and items, with those that this block adds; n_words and n_hit."""
-    docs = docs.drop("n_words", "n_hit")
-    kept = [f for f in docs.schema if f.name not in ("__hit", "items")]
-    schema = StructType([*kept, *StructType.fromDDL("__hit binary, items array<string>, n_words long, n_hit long").fields])
-
-    def run(batches):
-        searcher = Searcher(block.value, window)
-        for batch in batches:
-            rows = []
-            for text, old, items in zip(*(batch.column(c).to_pylist() for c in ("__text", "__hit", "items")), strict=True):
-                w = words(text)
-                hit, names = searcher.find(w)
-                if old:
-                    hit = bytes(x | y for x, y in zip(hit, old, strict=True))
-                rows.append((bytes(hit) if any(hit) else None, sorted({*names, *items}), len(w), sum(hit)))
-            cols = list(zip(*rows, strict=True)) or [[], [], [], []]
-            batch = batch.select([f.name for f in kept])
-            for name, col, kind in zip(("__hit", "items", "n_words", "n_hit"), cols, (pa.binary(), pa.list_(pa.string()), pa.int64(), pa.int64()), strict=True):
-                batch = batch.append_column(name, pa.array(col, kind))
-            yield batch
-
-    return docs.withColumn("__text", F.col("text").cast("binary")).mapInArrow(run, schema)
+    docs = docs.drop("n_words", "n_hit", "n_items", "items", "contaminated")
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("binary").alias("t"))
+    total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("n")).first().n
+    count = 1 if total <= block_bytes else -(-2 * total // block_bytes)
+    spark, found = docs.sparkSession, []
+    if count > 1:
+        docs = docs.withColumn("__rid", F.monotonically_increasing_id())
+    for k in range(count):
+        own = items if count == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == k)
+        held = [(r.i, None if r.t is None else bytes(r.t)) for r in own.collect()]  # a block
+        block = spark.sparkContext.broadcast(held)
+        if count == 1:
+            out = with_text(docs, lambda texts, searcher: [figures(*searcher.find(w), len(w)) for w in map(words, texts)], FIGURES, lambda: Searcher(block.value, window))
+            break
+        hits = with_text(docs.select("__rid", "text"), lambda texts, searcher: [(bytes(h) if any(h) else None, sorted(n)) for h, n in (searcher.find(words(t)) for t in texts)], HITS, lambda: Searcher(block.value, window))
+        found.append(cut(hits.where("hit is not null").select("__rid", "hit", "names"), "contamination-hits"))
+        block.destroy()
+    else:
+        every = reduce(DataFrame.union, found).groupBy("__rid").agg(F.collect_list("hit").alias("__hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("items"))
+        rows = docs.join(cut(every, "contamination-found"), "__rid", "left").drop("__rid").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+        out = with_text(rows, lambda texts, _, hits: [(len(words(t)), sum(map(any, zip(*h, strict=True))) if h else 0) for t, h in zip(texts, hits, strict=True)], "n_words long, n_hit long", lambda: None, "__hits").drop("__hits")
+    out = out.withColumn("n_items", F.size("items").cast("long")).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
+    return out.select(*[c for c in docs.columns if c != "__rid"], "n_words", "n_hit", "n_items", "items", "contaminated")
+
+
+def figures(hit: bytearray, names: set[str], n: int) -> tuple:
+    return n, sum(hit), sorted(names)
 
 
 def op6_decontamination(spark, sf_dir) -> DataFrame:
