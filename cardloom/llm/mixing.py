@@ -44,26 +44,29 @@ def rates(df: DataFrame, weights: dict[str, float], rest: float, epochs: float)
 
 
 def mix(df: DataFrame, weights: dict[str, float] = WEIGHTS, rest: float = REST, epochs: float = 1.0, seed: int = SEED) -> DataFrame:
-    """Rows repeated a Poisson number of times, with copy (from 0) and shuffle_key; globally shuffled by the key.
+    """Rows repeated a Poisson number of times, with copy (from 0) and shuffle_key.
 
     A row's number depends only on doc_id, text and seed, so repeated rows get equal numbers. Null sources and those
     not named belong to the rest. Target weights are shares of documents. Columns that clash (copy, shuffle_key) are replaced.
+    An empty table gives none. A text is hashed once, before its copies are made.
     """
     rate, other = rates(df, weights, rest, epochs)
-    key = [F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit("")))]
+    key = [F.col("doc_id"), F.col("__key")]
     n = F.when(F.lit(False), F.lit(0))
     for s, mean in rate.items():
         n = n.when(F.col("source") == s, copies(mean, key, seed))
     n = n.otherwise(copies(other, key, seed))
-    out = df.drop("copy", "shuffle_key").withColumn("__n", n).where("__n > 0")
-    out = out.select("*", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("copy")).drop("__n")
-    return out.withColumn("shuffle_key", uniform(*key, F.col("copy"), "order", seed=seed))
+    # arrays of one keep the hash and the number from being worked out wherever they are named
+    out = df.drop("copy", "shuffle_key").withColumn("__key", F.explode(F.array(F.md5(F.coalesce(F.col("text"), F.lit(""))))))
+    out = out.withColumn("__n", F.explode(F.array(n))).where("__n > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("copy"))
+    return out.withColumn("shuffle_key", uniform(*key, F.col("copy"), "order", seed=seed)).drop("__key", "__n")
 
 
 def shuffled(df: DataFrame) -> DataFrame:
-    """The rows in the order of their random keys, over all partitions."""
+    """The rows in the order of their random keys, over all partitions. Keys are uniform, so equal parts of [0, 1) are equal shares: no pass samples them first."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(parts, "shuffle_key", "doc_id", "copy").sortWithinPartitions("shuffle_key", "doc_id", "copy")
+    at = F.floor(F.col("shuffle_key") * parts).cast("int")
+    return df.repartitionById(parts, at).sortWithinPartitions("shuffle_key", "doc_id", "copy")
 
 
 def op5_mixing(spark, sf_dir) -> DataFrame:

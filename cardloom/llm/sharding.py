@@ -16,11 +16,13 @@ def shard(df: DataFrame, size: Column, order: list[Column], shards: int = 40) ->
     Rows are dealt by range of `order`; each range has a running sum, the ranges' totals (one row each) give every
     range its global offset, and a row goes to the shard in whose equal share of all bytes its middle byte lies.
     Sizes differ by a row or two. Repeated rows are told apart by a row number that follows the input's order, so a
-    third of all rows with one key is still split. Null order keys come first; an empty table gives no rows.
+    third of all rows with one key is still split. Null order keys come first; an empty table gives no rows. Columns that
+    clash (size, shard, slot) are replaced, after size and order are taken from them.
     `df` should hold no more columns than are to be returned: they are dealt once and sorted in ranges.
     """
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards)
-    keyed = df.select("*", size.alias("__size"), F.monotonically_increasing_id().alias("__mid"))
+    sized = df.select("*", size.alias("__size"), F.monotonically_increasing_id().alias("__mid"), *[o.alias(f"__order{i}") for i, o in enumerate(order)])
+    keyed, order = sized.drop("size", "shard", "slot"), [F.col(f"__order{i}") for i in range(len(order))]
     keys = [*order, F.col("__mid")]
     ranged = cut(keyed.repartitionByRange(parts, *keys).withColumn("__pid", F.spark_partition_id()), "shard-ranges")
     w = Window.partitionBy("__pid").orderBy(*keys)
@@ -38,7 +40,7 @@ def shard(df: DataFrame, size: Column, order: list[Column], shards: int = 40) ->
     # a range meets consecutive shards only: at most parts + shards rows
     pieces = placed.groupBy("__pid", "shard").agg(F.min("__rn").alias("__first"), F.count("*").alias("__n"))
     pieces = pieces.withColumn("__ahead", F.sum("__n").over(Window.partitionBy("shard").orderBy("__pid")) - F.col("__n")).drop("__n")
-    return placed.join(F.broadcast(pieces), ["__pid", "shard"]).withColumn("slot", F.col("__ahead") + F.col("__rn") - F.col("__first")).withColumnRenamed("__size", "size").drop("__pid", "__rn", "__first", "__ahead")
+    return placed.join(F.broadcast(pieces), ["__pid", "shard"]).withColumn("slot", F.col("__ahead") + F.col("__rn") - F.col("__first")).withColumnRenamed("__size", "size").drop("__pid", "__rn", "__first", "__ahead", *[f"__order{i}" for i in range(len(order))])
 
 
 def text_size(text: Column) -> Column:
