@@ -1,153 +1,230 @@
-"""Language-model scores: a causal self-attention model over subword classes, and a smoothed unigram base score."""
+"""Language-model scores: a causal self-attention model over subword ids, and a smoothed unigram base score."""
 
 from __future__ import annotations
 
 import base64
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import SLICE, cut, forget, table
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Subwords with a class of their own, and classes that the others share by id. The last class is the text's end.
-OWN, SHARED = 48, 16
-END, BOS = OWN + SHARED, OWN + SHARED + 1
-WIDTH, CONTEXT, STRIDE, BATCH = 16, 32, 24, 128
-#: Every block of BLOCK words of the training texts trains the attention weights, in each round.
-BLOCK, ROUNDS, STEP, FEWEST_STEPS, SEED = 32, 3, 0.01, 40, 5
-#: The model's share of a class's probability; the rest is the class's share of all training subwords.
-MIXED = 0.95
-MODEL = math.log(MIXED)
+#: A class is a run of items, by count, with a share of up to 1 / CLASSES of all or one item, and of at most MOST_ITEMS.
+CLASSES, MOST_ITEMS = 32, 256
+WIDTH, CONTEXT, STRIDE, BATCH = 16, 24, 16, 512
+LEAD = CONTEXT - STRIDE
+#: All windows of the training texts train the weights once: in so many rounds, by groups of about so many subwords a round.
+ROUNDS, GROUP, STEP, SEED = 4, 1 << 20, 0.02, 5
 #: Words whose counts every task holds, of those with a share of 1 / (20 * COMMON_WORDS) or more; the others' counts come by a join.
 COMMON_WORDS = 100_000
+#: Longer words are cut into pieces of so many bytes before they are split into subwords, which keeps the time linear.
+LONGEST_PIECE = 512
+#: Which places each scored place sees: itself and those before it.
+SEES = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))[LEAD:]
+#: Rows that one task sums weights in.
+PARTS = 64
 
 
-class Subwords:
-    """Subword ids by word, remembered up to a bound. Words over 64 bytes are cut into pieces first."""
+def tokens(text: bytes | None) -> list[bytes]:
+    return text.lower().split() if text else []
+
 
-    def __init__(self, path: str, most: int = 800_000):
+class Subwords(dict):
+    """Subword ids, as bytes, by word; remembered up to a bound."""
+
+    def __init__(self, path: str, most: int = 400_000):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.size, self.most, self.known = len(ranks), most, {}
+        super().__init__()
+        self.size, self.most, self.single = max(ranks.values()) + 1, most, ranks
+        self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
         self.core = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe
-        self.single = {w: r for w, r in ranks.items()}
-
-    def encode(self, word: bytes) -> bytes:
-        """The ids as uint16 bytes."""
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) > self.most:
-                self.known.clear()
-            spaced = b" " + word
-            ids = [self.single[spaced]] if spaced in self.single else [i for j in range(0, len(spaced), 64) for i in self.core.encode_single_piece(spaced[j : j + 64])]
-            got = self.known[word] = np.array(ids, np.uint16).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        spaced = b" " + word
+        one = self.single.get(spaced)
+        ids = [one] if one is not None else [i for j in range(0, len(spaced), LONGEST_PIECE) for i in self.core.encode_single_piece(spaced[j : j + LONGEST_PIECE])]
+        got = self[word] = np.array(ids, self.kind).tobytes()
         return got
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.encode, words)), np.uint16)
-
-
-def tokens(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []
-
-
-def start() -> dict[str, np.ndarray]:
+        if len(self) > self.most:
+            self.clear()
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), self.kind)
+
+
+class Vocabulary:
+    """The items that the model knows: each subword id that the training texts hold and the text's end, by count, then one
+    for all other ids (no text tells them apart, so each has an equal part of that item's probability). Classes are runs of items."""
+
+    def __init__(self, counts: np.ndarray, ends: int):
+        ids = np.flatnonzero(counts)
+        c = np.append(counts[ids], ends).astype(np.float64)
+        order = np.lexsort((np.append(ids, len(counts)), -c))
+        rank = np.empty(len(order), np.intp)
+        rank[order] = np.arange(len(order))
+        self.unseen, self.bos = len(order), len(order) + 1
+        self.item = np.full(len(counts), self.unseen, np.intp)
+        self.item[ids], self.end = rank[:-1], int(rank[-1])
+        self.share = np.append(c[order], 0) + 0.5
+        self.share /= self.share.sum()
+        starts, held = [0], 0.0
+        for i, s in enumerate(self.share):
+            if held and (held + s > 1 / CLASSES or i - starts[-1] >= MOST_ITEMS):
+                starts.append(i)
+                held = 0.0
+            held += s
+        self.bounds = np.array([*starts, len(self.share)])
+        self.cls = np.repeat(np.arange(len(starts), dtype=np.uint16), np.diff(self.bounds))
+        self.unseen_log = -math.log(max(1, len(counts) - len(ids)))
+
+
+def start(v: Vocabulary) -> dict[str, np.ndarray]:
+    """The weights before training: class and item probabilities are the corpus shares."""
     r = np.random.default_rng(SEED)
-    d = WIDTH
     f = lambda *s: (r.standard_normal(s) * 0.1).astype(np.float32)
-    return {"E": f(BOS + 1, d), "P": f(CONTEXT, d), "Q": f(d, d), "K": f(d, d), "V": f(d, d), "O": f(d, d), "U": f(d, END + 1), "b": np.zeros(END + 1, np.float32)}
-
-
-LEAD = CONTEXT - STRIDE
-#: Which places each scored place sees: itself and those before it.
-SEES = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))[LEAD:]
+    classes = np.add.reduceat(v.share, v.bounds[:-1])
+    return {
+        "E": f(v.bos + 1, WIDTH), "P": f(CONTEXT, WIDTH), "M": f(WIDTH, WIDTH), "N": f(WIDTH, WIDTH), "U": f(WIDTH, len(classes)), "W": f(v.unseen + 1, WIDTH),
+        "b": np.log(classes).astype(np.float32), "a": np.log(v.share / classes[v.cls]).astype(np.float32),
+    }
 
 
-def forward(p, x):
-    """Logits of the next class at the last STRIDE places of windows x, the logs of their exponentials' sums, and what backward needs."""
-    h = p["E"].take(x.astype(np.intp), 0)
+def attend(p, x):
+    """The state at the last STRIDE places of windows x, and what backward needs. M joins queries and keys, N values and output."""
+    h = p["E"].take(x, 0)
     h += p["P"]
-    flat = h.reshape(-1, WIDTH)
-    k, v = (flat @ p["K"]).reshape(h.shape), (flat @ p["V"]).reshape(h.shape)
     late = np.ascontiguousarray(h[:, LEAD:])
-    q = (late.reshape(-1, WIDTH) @ (p["Q"] * np.float32(WIDTH**-0.5))).reshape(late.shape)
-    e = q @ k.transpose(0, 2, 1)
+    q = (late.reshape(-1, WIDTH) @ p["M"]).reshape(late.shape)
+    e = q @ h.transpose(0, 2, 1)
     np.clip(e, -60, 60, out=e)  # in place of taking off the largest: the exponentials stay finite
     np.exp(e, out=e)
     e *= SEES
-    o = e @ v
-    total = e @ np.ones((CONTEXT, 1), e.dtype)
-    o /= total
-    z = late.reshape(-1, WIDTH) + o.reshape(-1, WIDTH) @ p["O"]
-    y = z @ p["U"]
-    y += p["b"]
+    e /= (e.reshape(-1, CONTEXT) @ np.ones(CONTEXT, e.dtype)).reshape(*e.shape[:2], 1)
+    o = (e @ h).reshape(-1, WIDTH)
+    return late.reshape(-1, WIDTH) + o @ p["N"], (h, late, q, e, o)
+
+
+def softmax(y):
+    """The exponentials of y and their sums."""
     np.clip(y, -60, 60, out=y)
     f = np.exp(y)
-    return y, f @ np.ones(f.shape[1], f.dtype), (h, late, q, k, v, e, total, o, z, f)
-
-
-def target_logs(p, x, target) -> np.ndarray:
-    """Natural logs of the targets' probabilities at the scored places."""
-    y, total, _ = forward(p, x)
-    return y[np.arange(len(y)), target.ravel()] - np.log(total)
-
-
-def backward(p, x, target, weight):
-    """Gradients of the mean cross entropy of windows x against target, over places of weight 1."""
-    _, sums, (h, late, q, k, v, e, total, o, z, f) = forward(p, x)
-    c = np.float32(WIDTH**-0.5)
-    g = f / sums[:, None]
-    g[np.arange(len(g)), target.ravel()] -= 1
-    g *= (weight.ravel() / max(float(weight.sum()), 1.0))[:, None].astype(np.float32)
-    flat = lambda m: m.reshape(-1, WIDTH)
-    grad = {"U": z.T @ g, "b": g.sum(0)}
-    gz = (g @ p["U"].T).reshape(late.shape)
-    grad["O"] = flat(o).T @ flat(gz)
-    go, a = gz @ p["O"].T, e / total
-    ga = go @ v.transpose(0, 2, 1)
-    gv = a.transpose(0, 2, 1) @ go
-    gs = a * (ga - (ga * a).sum(-1, keepdims=True))
-    gq, gk = gs @ k * c, gs.transpose(0, 2, 1) @ q
-    gh = gk @ p["K"].T + gv @ p["V"].T
-    gh[:, LEAD:] += gz + gq @ p["Q"].T
-    grad |= {"Q": flat(late).T @ flat(gq), "K": flat(h).T @ flat(gk), "V": flat(h).T @ flat(gv), "P": gh.sum(0)}
-    grad["E"] = np.zeros_like(p["E"])
-    np.add.at(grad["E"], x.ravel(), flat(gh))
+    return f, f @ np.ones(f.shape[1], f.dtype)
+
+
+def by_class(v: Vocabulary, c: np.ndarray):
+    """An order of targets by their classes c, and for each class of two items or more that occurs its part of the order, its first item and the one after its last."""
+    order = np.argsort(c, kind="stable")
+    at = np.searchsorted(c[order], np.arange(len(v.bounds)))
+    return order, [(slice(at[k], at[k + 1]), v.bounds[k], v.bounds[k + 1]) for k in np.flatnonzero((np.diff(v.bounds) > 1) & (np.diff(at) > 0))]
+
+
+def target_logs(p, v: Vocabulary, x, target) -> np.ndarray:
+    """Natural logs of the targets' probabilities at the scored places: of its class, and of the item within it."""
+    t = target.ravel()
+    z, out = [], []
+    c = v.cls[t]
+    for i in range(0, len(x), BATCH // 2):
+        own, _ = attend(p, x[i : i + BATCH // 2])
+        y = own @ p["U"]
+        y += p["b"]
+        _, sums = softmax(y)
+        out.append(y[np.arange(len(y)), c[i * STRIDE : i * STRIDE + len(y)]] - np.log(sums))
+        z.append(own)
+    order, parts = by_class(v, c)
+    z, out, t = np.concatenate(z)[order], np.concatenate(out)[order], t[order]
+    for at, lo, hi in parts:
+        y = z[at] @ p["W"][lo:hi].T
+        y += p["a"][lo:hi]
+        _, sums = softmax(y)
+        out[at] += y[np.arange(len(y)), t[at] - lo] - np.log(sums)
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def cross(z, U, b, target, scale):
+    """Of logits z @ U + b: the gradients for z, U and b of the scaled cross entropy against target."""
+    y = z @ U
+    y += b
+    g, sums = softmax(y)
+    g *= (scale / sums)[:, None]
+    g[np.arange(len(g)), target] -= scale
+    return g @ U.T, z.T @ g, np.ones(len(g), g.dtype) @ g
+
+
+def backward(p, v: Vocabulary, x, target, weight):
+    """Gradients of the mean cross entropy of windows x against target, over places of weight 1; that of E as (items, rows)."""
+    t = target.ravel()
+    scale = (weight.ravel() / max(float(weight.sum()), 1.0)).astype(p["U"].dtype)
+    z, (h, late, q, e, o) = attend(p, x)
+    c = v.cls[t]
+    gz, gU, gb = cross(z, p["U"], p["b"], c, scale)
+    grad = {"U": gU, "b": gb, "W": np.zeros_like(p["W"]), "a": np.zeros_like(p["a"])}
+    order, parts = by_class(v, c)
+    own, t, scale, inner = z[order], t[order], scale[order], np.zeros_like(z)
+    for at, lo, hi in parts:
+        inner[at], gW, grad["a"][lo:hi] = cross(own[at], p["W"][lo:hi].T, p["a"][lo:hi], t[at] - lo, scale[at])
+        grad["W"][lo:hi] = gW.T
+    gz[order] += inner
+    grad["N"] = o.T @ gz
+    go = (gz @ p["N"].T).reshape(late.shape)
+    gs = go @ h.transpose(0, 2, 1)
+    gh = e.transpose(0, 2, 1) @ go
+    gs *= e
+    gs -= e * (gs.reshape(-1, CONTEXT) @ np.ones(CONTEXT, gs.dtype)).reshape(*gs.shape[:2], 1)
+    gq = (gs @ h).reshape(-1, WIDTH)
+    gh += gs.transpose(0, 2, 1) @ q
+    grad["M"] = late.reshape(-1, WIDTH).T @ gq
+    gh[:, LEAD:] += (gz + gq @ p["M"].T).reshape(late.shape)
+    grad["P"] = gh.sum(0)
+    flat = x.ravel().astype(np.uint16 if v.bos < 1 << 16 else np.uint32)  # short integers are sorted by radix
+    order = np.argsort(flat, kind="stable")
+    items, at = np.unique(flat[order], return_index=True)
+    grad["E"] = items.astype(np.intp), np.add.reduceat(gh.reshape(-1, WIDTH)[order], at, axis=0)
     return grad
 
 
-def windows(classes: np.ndarray, every: int = 1, first: int = 0, before: np.ndarray | None = None, end: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, targets and the places that count, so that each of classes and the end is a target once: windows overlap,
-    and each is scored at its last STRIDE places, after LEAD places of context (starts before the text in the first
-    window, of which `before`, the classes that come before these, takes the last places). Only each `every`-th window
-    from `first` on is given; without `end` the text goes on."""
-    n = len(classes) + end
+class Adam:
+    """Steps of Adam from the weights p; a row of E moves when its item is in the windows."""
+
+    def __init__(self, p: dict[str, np.ndarray], step: float):
+        self.p, self.step, self.t = {k: x.copy() for k, x in p.items()}, step, 0
+        self.m, self.v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+
+    def take(self, grad) -> None:
+        self.t += 1
+        rate, root = self.step / (1 - 0.9**self.t), 1 / (1 - 0.99**self.t)
+        for k, g in grad.items():
+            at, g = g if k == "E" else (slice(None), g)
+            m, v = self.m[k][at], self.v[k][at]
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            self.m[k][at], self.v[k][at] = m, v
+            self.p[k][at] -= rate * m / (np.sqrt(v * root) + 1e-8)
+
+
+def windows(v: Vocabulary, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, targets and the places that count, so that each of items and the end is a target once: windows overlap,
+    and each is scored at its last STRIDE places, after LEAD places of context (starts before the text in the first window)."""
+    n = len(items) + 1
     count = -(-n // STRIDE)
-    seq = np.full(LEAD + count * STRIDE + 1, END, np.int16)
-    seq[: LEAD + 1] = BOS
-    if before is not None and len(before):
-        before = before[-LEAD - 1 :]
-        seq[LEAD + 1 - len(before) : LEAD + 1] = before
-    seq[LEAD + 1 : LEAD + 1 + len(classes)] = classes
-    at = (np.arange(first, count, every) * STRIDE)[:, None] + np.arange(CONTEXT)
+    seq = np.full(LEAD + count * STRIDE + 1, v.end, np.intp)
+    seq[: LEAD + 1] = v.bos
+    seq[LEAD + 1 : LEAD + n] = items
+    at = (np.arange(count) * STRIDE)[:, None] + np.arange(CONTEXT)
     late = at[:, LEAD:]
     return seq[at], seq[late + 1], late - LEAD < n
 
 
-def blocks(words: list[bytes], every: int, first: int):
-    """Each `every`-th block of BLOCK words from `first` on: the words of context before it, its words, and whether the text ends with it."""
-    count = max(1, -(-len(words) // BLOCK))
-    for i in range(first, count, every):
-        yield words[max(0, i * BLOCK - LEAD - 1) : i * BLOCK], words[i * BLOCK : (i + 1) * BLOCK], i == count - 1
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """word (binary), c over all rows; each task adds up what it holds before rows are dealt."""
 
@@ -176,93 +253,125 @@ def count_subwords(words: DataFrame, path: str) -> np.ndarray:
         total = np.zeros(s.size, np.int64)
         for b in batches:
             for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True):
-                np.add.at(total, np.frombuffer(s.encode(w), np.uint16), c)
+                np.add.at(total, s.ids([w]), c)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "c"])
 
     got = words.mapInArrow(run, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).collect()
-    out = np.zeros(1 << 16, np.int64)
+    out = np.zeros(Subwords(path).size, np.int64)
     for r in got:
         out[r.id] = r.c
     return out
 
 
-def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each id's class, and log10 of its share within the class (add a half)."""
-    order = np.lexsort((np.arange(len(counts)), -counts))
-    cls = (OWN + np.arange(len(counts)) % SHARED).astype(np.int16)
-    cls[order[:OWN]] = np.arange(OWN)
-    size = np.bincount(cls, weights=counts + 0.5, minlength=OWN + SHARED)
-    return cls, np.log10((counts + 0.5) / size[cls])
-
-
-def train(docs: DataFrame, cls: np.ndarray, path: str) -> dict[str, np.ndarray]:
-    """Rounds of local training: each task starts from the last round's weights, runs Adam over its windows and gives its weights, which are averaged by windows."""
+def learnt_group(p, v: Vocabulary, texts, step: float) -> tuple[dict[str, np.ndarray], int]:
+    """The weights after one pass over the windows of texts (arrays of items), in their order, and the number of targets."""
+    adam, held, n = Adam(p, step), [], 0
+
+    def go():
+        adam.take(backward(adam.p, v, *(np.concatenate(a) for a in zip(*held, strict=True))))
+        held.clear()
+
+    room = BATCH
+    for items in texts:
+        parts, at = windows(v, items), 0
+        n += len(items) + 1
+        while at < len(parts[0]):
+            held.append([a[at : at + room] for a in parts])
+            at += room
+            room = BATCH - sum(len(h[0]) for h in held)
+            if not room:
+                go()
+                room = BATCH
+    if held:
+        go()
+    return adam.p, n
+
+
+def train(docs: DataFrame, v: Vocabulary, subwords: int, path: str) -> dict[str, np.ndarray]:
+    """Local training in ROUNDS rounds: a row's hash gives its round and group; each group starts from the last round's
+    weights, goes once over its windows in the order of hashes and gives its weights, which are averaged by targets.
+
+    Every window of every training text is read once. Rounds, groups and orders follow from the rows alone, so the
+    weights don't depend on partitions. A group holds about GROUP subwords; their number grows with the corpus.
+    """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(cls)
-
-    def gather(batches):
+    groups = max(1, -(-subwords // (ROUNDS * GROUP)))
+    p = start(v)
+    names, shapes = list(p), {k: a.shape for k, a in p.items()}
+    flat = np.concatenate([p[k].ravel() for k in names])
+    key = docs.select(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")).alias("h"), F.col("text").cast("binary").alias("text"))
+    key = key.select("*", F.pmod("h", F.lit(ROUNDS)).alias("r"), F.pmod(F.floor(F.col("h") / ROUNDS), F.lit(groups)).alias("g"))
+    kind = f"h long, g long, ids binary"
+
+    def encode(batches):
         s = Subwords(path)
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                xs, ys, ws = [], [], []
-                for t in whole.column("text").slice(lo, 256).to_pylist():
-                    for before, own, end in blocks(tokens(t), 1, 0):
-                        x, y, w = windows(shared.value[s.ids(own)], before=shared.value[s.ids(before)], end=end)
-                        xs += [r.tobytes() for r in x.astype(np.uint8)]
-                        ys += [r.tobytes() for r in y.astype(np.uint8)]
-                        ws += [r.tobytes() for r in w.astype(np.uint8)]
-                yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary()), pa.array(ws, pa.binary())], names=["x", "y", "w"])
-
-    held = cut(docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(gather, "x binary, y binary, w binary"), "lm-windows")
-    p = start()
-    names, shapes = list(p), {k: v.shape for k, v in p.items()}
+        for b in batches:
+            ids = [s.ids(tokens(t)).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("g"), pa.array(ids, pa.binary())], names=["h", "g", "ids"])
+
+    width = np.uint16 if len(v.item) <= 1 << 16 else np.uint32
     for r in range(ROUNDS):
-        now = spark.sparkContext.broadcast(p)
+        now = spark.sparkContext.broadcast((flat, v))
 
         def learn(batches, now=now, r=r):
-            p = {k: v.copy() for k, v in now.value.items()}
-            m, v, n, t = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0, 0
-            few = []
-
-            def step(x, y, w):
-                nonlocal t
-                t += 1
-                for k, g in backward(p, x, y, w).items():
-                    m[k] = 0.9 * m[k] + 0.1 * g
-                    v[k] = 0.99 * v[k] + 0.01 * g * g
-                    p[k] = (p[k] - STEP / (1 + r) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
-
-            for b in batches:
-                data = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, width) for c, width in (("x", CONTEXT), ("y", STRIDE), ("w", STRIDE))]
-                n += len(data[0])
-                for i in range(0, len(data[0]), 256):
-                    part = [a[i : i + 256] for a in data]
-                    if t < FEWEST_STEPS:
-                        few.append(part)
-                    step(*part)
-            for i in range(FEWEST_STEPS - t if n else 0):  # few windows are gone over again
-                step(*few[i % len(few)])
-            if n:
-                flat = np.concatenate([x.ravel() for x in p.values()]).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * n), pa.array(np.full(len(flat), float(n)))], names=["i", "v", "n"])
-
-        got = held.mapInArrow(learn, "i int, v double, n double").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).orderBy("i").collect()
-        if got:
-            flat, at = np.array([x.v for x in got], np.float32), 0
+            flat, v = now.value
+            p, at = {}, 0
             for k in names:
                 n = math.prod(shapes[k])
                 p[k], at = flat[at : at + n].reshape(shapes[k]), at + n
-    return p
+            total, count, held, group = np.zeros(len(flat)), 0, [], None
+
+            def add():
+                nonlocal total, count
+                if held:
+                    q, n = learnt_group(p, v, (v.item[x] for x in held), STEP / (1 + r))
+                    total += n * np.concatenate([q[k].ravel() for k in names])
+                    count += n
+                    held.clear()
+
+            for b in batches:
+                for g, ids in zip(b.column("g").to_pylist(), b.column("ids").to_pylist(), strict=True):
+                    if g != group:
+                        add()
+                        group = g
+                    held.append(np.frombuffer(ids, width))
+            add()
+            if count:
+                cuts = [a.tobytes() for a in np.array_split(total, PARTS)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([count] * PARTS, pa.int64()), pa.array(cuts, pa.binary())], names=["i", "n", "w"])
+
+        def summed(batches):
+            held = {}
+            for b in batches:
+                for i, n, w in zip(*(b.column(c).to_pylist() for c in ("i", "n", "w")), strict=True):
+                    old = held.get(i, (0, 0.0))
+                    held[i] = old[0] + n, old[1] + np.frombuffer(w)
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([n for n, _ in held.values()], pa.int64()), pa.array([w.tobytes() for _, w in held.values()], pa.binary())], names=["i", "n", "w"])
+
+        texts = key.where(F.col("r") == r).select("h", "g", "text").mapInArrow(encode, kind)
+        part = texts.repartition(groups, "g").sortWithinPartitions("g", "h", "ids").select("g", "ids").mapInArrow(learn, "i int, n long, w binary")
+        got = cut(part.repartition(PARTS, "i").mapInArrow(summed, "i int, n long, w binary"), "lm-weights")
+        rows = sorted(got.collect(), key=lambda x: x.i)  # PARTS rows, as many bytes as the weights have
+        forget(got)
+        now.destroy()
+        if rows:
+            flat = np.concatenate([np.frombuffer(x.w) / x.n for x in rows]).astype(np.float32)
+    out, at = {}, 0
+    for k in names:
+        n = math.prod(shapes[k])
+        out[k], at = flat[at : at + n].reshape(shapes[k]), at + n
+    return out
 
 
 def score(docs: DataFrame, held_out, path: str = TOKENIZER) -> DataFrame:
-    """For each row of docs(doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """For each row of docs(doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; no other column.
 
     Rows where held_out is false are learnt from; all are scored. Tokens are A-Z lower-cased words and one end. The base
-    score is the sum of log10((c + 0.5) / (N + 0.5 * (V + 1))). The model's probability of a text is that of its subwords
-    and its end: the class of the next subword by the attention model, times its share within the class. Null and empty
-    texts are an end alone; without training rows N, V and all counts are 0. Repeated rows are scored and counted each.
+    score is the sum of log10((c + 0.5) / (N + 0.5 * (V + 1))). The model's score is the sum of log10 probabilities of the
+    text's subword ids and its end. Null and empty texts are an end alone; without training rows N, V and all counts are 0.
+    Repeated rows are scored and counted each. `path` is a tokenizer's vocabulary that every executor can open.
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -274,46 +383,42 @@ def score(docs: DataFrame, held_out, path: str = TOKENIZER) -> DataFrame:
     n, v = total.n + ends, total.v + (ends > 0)
     base = math.log10(n + 0.5 * (v + 1))
     common = {bytes(r.word): math.log10(r.c + 0.5) for r in words.where(F.col("c") >= n / (20 * COMMON_WORDS)).orderBy(F.desc("c"), "word").limit(COMMON_WORDS).collect()}
-    subwords = count_subwords(words, path)
-    cls, within = classes_of(subwords)
-    prior = np.bincount(cls, weights=subwords, minlength=END + 1)[: END + 1] + 0.5
-    prior[END] += ends
-    prior = np.log((1 - MIXED) * prior / prior.sum()).astype(np.float32)
-    model = train(learnt, cls, path)
-    shared = spark.sparkContext.broadcast((common, cls, within, model, prior))
+    counts = count_subwords(words, path)
+    voc = Vocabulary(counts, ends)
+    model = train(learnt, voc, int(counts.sum()) + ends, path)
+    shared = spark.sparkContext.broadcast((common, voc, model))
     end = math.log10(ends + 0.5)
 
     def run(batches):
-        s, (common, cls, within, p, prior) = Subwords(path), shared.value
+        s, (common, voc, p) = Subwords(path), shared.value
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                b = whole.slice(lo, 256)
-                cols, xs, ys, ws, owner, inner = [[], [], [], []], [], [], [], [], []
+            for lo in range(0, whole.num_rows, SLICE):
+                b = whole.slice(lo, SLICE)
+                cols, xs, ys, ws, owner, unseen = [[], [], [], []], [], [], [], [], []
                 for i, t in enumerate(b.column("text").to_pylist()):
                     w = tokens(t)
-                    logs = [common.get(x) for x in w]
-                    rare = [x for x, l in zip(w, logs, strict=True) if l is None]
+                    logs = np.fromiter(map(common.get, w, repeat(math.nan)), np.float64, len(w))
+                    rare = np.flatnonzero(np.isnan(logs))
                     known = len(w) - len(rare)
                     cols[0].append(len(w) + 1)
                     cols[1].append(known + (ends > 0))
-                    cols[2].append(sum(l for l in logs if l is not None) + end - (known + 1) * base)
-                    cols[3].append(rare)
-                    ids = s.ids(w)
-                    x, y, m = windows(cls[ids])
+                    cols[2].append(float(np.nansum(logs)) + end - (known + 1) * base)
+                    cols[3].append([w[j] for j in rare])
+                    items = voc.item[s.ids(w)]
+                    x, y, m = windows(voc, items)
                     xs.append(x)
                     ys.append(y)
                     ws.append(m)
                     owner.append(np.full(len(x), i))
-                    inner.append(float(within[ids].sum()))
+                    unseen.append(int((items == voc.unseen).sum()) * voc.unseen_log)
                 x, y, m, owner = (np.concatenate(z) for z in (xs, ys, ws, owner))
-                out = np.zeros(b.num_rows)
-                for i in range(0, len(x), BATCH):
-                    part = y[i : i + BATCH]
-                    logs = np.logaddexp(target_logs(p, x[i : i + BATCH], part) + MODEL, prior[part.ravel()]).reshape(part.shape)
-                    out += np.bincount(owner[i : i + BATCH], (logs * m[i : i + BATCH]).sum(1, dtype=np.float64), len(out))
+                out = np.array(unseen)
+                for i in range(0, len(x), 4 * BATCH):
+                    logs = target_logs(p, voc, x[i : i + 4 * BATCH], y[i : i + 4 * BATCH]).reshape(-1, STRIDE)
+                    out += np.bincount(owner[i : i + 4 * BATCH], (logs * m[i : i + 4 * BATCH]).sum(1, dtype=np.float64), len(out))
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("__rid"), b.column("doc_id"), b.column("held_out"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], pa.array(out / math.log(10) + np.array(inner))],
+                    [b.column("__rid"), b.column("doc_id"), b.column("held_out"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], pa.array(out / math.log(10))],
                     names=["__rid", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "rare", "score"],
                 )
 
