@@ -1,7 +1,8 @@
 """Documents to shards of training text: quality rules, near duplicates, decontamination, mixing, sharding.
 
 Each stage's rows are written as Parquet to the shared folder and read again as the next one's documents. All stages but
-the last give the columns of documents; the last adds size, shard and slot.
+the last give the columns of documents; the last adds size, shard and slot. Each stage takes null, empty and very long
+texts, repeated rows and an empty table: null and empty texts fail the quality rules and go, repeated rows are one near-duplicate group.
 """
 
 from __future__ import annotations
@@ -24,19 +25,23 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
-    found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    """Contaminated documents go. Columns of docs named like the operator's results keep their own values."""
+    texts = docs.select("text", F.struct(*docs.columns).alias("__row"))
+    found = decontamination.find_contamination(texts, table(spark, sf_dir, "benchmark"))
+    return found.where(~F.col("contaminated")).select("__row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's weight asks, in random order."""
-    return mixing.shuffled(mixing.mix(docs)).select(*docs.columns)
+    """Each document as often as its source's weight asks, in random order. A null source is of the rest. Columns named like the operator's keep their own values."""
+    named = {c: f"__own_{c}" for c in ("copy", "shuffle_key") if c in docs.columns}
+    mixed = mixing.shuffled(mixing.mix(docs.withColumnsRenamed(named)))
+    return mixed.select(*[F.col(named.get(c, c)).alias(c) for c in docs.columns])
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shards of equal bytes in the order of the mixed rows; sizes alone are dealt and sorted, then the texts meet their places once."""
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    """Shards of equal bytes, of rows as they are read: the mixed table's parts in any order, each in its random order. Sizes
+    alone are dealt and sorted, then the texts meet their places once. Clashing columns (size, shard, slot) are replaced."""
+    rows = docs.drop("size", "shard", "slot").withColumn("__row", F.monotonically_increasing_id())
     placed = sharding.shard(rows.select("__row", sharding.text_size(F.col("text")).alias("bytes")), F.col("bytes"), [F.col("__row")])
     return rows.join(cut(placed.select("__row", "size", "shard", "slot"), "pipeline-places"), "__row").drop("__row")
 
