@@ -25,10 +25,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go. Columns of docs named like the operator's results keep their own values."""
-    texts = docs.select("text", F.struct(*docs.columns).alias("__row"))
-    found = decontamination.find_contamination(texts, table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select("__row.*")
+    """Contaminated documents go. Columns named like the operator's results keep their own values."""
+    named = {c: f"__own_{c}" for c in ("n_words", "n_hit", "n_items", "items", "contaminated") if c in docs.columns}
+    found = decontamination.find_contamination(docs.withColumnsRenamed(named), table(spark, sf_dir, "benchmark"))
+    return found.where(~F.col("contaminated")).select(*[F.col(named.get(c, c)).alias(c) for c in docs.columns])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
