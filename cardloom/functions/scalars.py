@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # The results of a pod seat and what they mean.
-RESULTS = {"win": "win", "won": "win", "winner": "win", "loss": "loss", "lost": "loss", "draw": "draw", "tie": "draw", "bye": "bye", "unknown": "unknown", "second": "loss", "third": "loss", "fourth": "loss"}
+RESULTS = {"win": "win", "won": "win", "winner": "win", "first": "win", "loss": "loss", "lost": "loss", "draw": "draw", "tie": "draw", "bye": "bye", "unknown": "unknown", "second": "loss", "third": "loss", "fourth": "loss"}
 PLACEMENTS = {"winner": 1, "first": 1, "second": 2, "third": 3, "fourth": 4}
-FINDING_CODE = r"^(parse|integrity|resolution|legality|quality)(\.[a-z0-9_]+)+$"
 UUID = r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 
@@ -41,9 +40,13 @@ def mode(c: Column, for_report: bool = False) -> Column:
     return F.when(m.isNull() | (m == ""), "unknown").when(m.isin(competitive), "competitive").otherwise(m)
 
 
-def pod_result(c: Column) -> Column:
+def pod_result(c: Column, player: Column | None = None, winner: Column | None = None, winners_at_table: Column | None = None) -> Column:
+    """A seat's result. Where it is missing or unknown, a table's winner id decides, if just one player of the table has it."""
     r = F.lower(F.trim(c))
-    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in RESULTS.items() for x in kv]), r), F.lit("ambiguous"))
+    named = F.when(r.isNull(), "unknown").otherwise(F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in RESULTS.items() for x in kv]), r), F.lit("ambiguous")))
+    if player is None:
+        return named
+    return F.when((named == "unknown") & player.isNotNull() & winner.isNotNull() & (winners_at_table == 1), F.when(player == winner, "win").otherwise("loss")).otherwise(named)
 
 
 def placement(c: Column) -> Column:

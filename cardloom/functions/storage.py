@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """df, written under spark.checkpoint.dir (a temporary folder only where that is unset) and read again."""
+    """df, written under spark.checkpoint.dir and read again. Where that is unset, a local session gets a temporary folder; executors of a cluster couldn't see that, so there it is an error."""
     conf = df.sparkSession.conf
     root = conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not df.sparkSession.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="cardloom-")
         conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

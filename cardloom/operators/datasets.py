@@ -5,21 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import first_code, mode
 from .decks import cooccurrence
 
 
-def filter_records(records: DataFrame, sources: list[str] | None = None, modes: list[str] | None = None, legal: list[str] | None = None, quality: list[str] | None = None, observed_from: str | None = None, observed_until: str | None = None) -> DataFrame:
-    """records with exclusion_code, the first that holds: source, mode, legality, quality, from, until. Settings that are None ask nothing; nulls never pass a list."""
-    checks = []
-    for column, allowed, code in (("source_id", sources, "policy.source_not_selected"), ("mode", modes, "policy.mode_not_selected"), ("legal_status", legal, "policy.legality_not_selected"), ("quality_status", quality, "policy.quality_not_selected")):
-        if allowed is not None:
-            checks.append(F.when(~F.coalesce(F.col(column).isin(allowed), F.lit(False)), code))
-    at = F.col("observed_at")
+def filter_records(records: DataFrame, sources: list[str] | None = None, modes: list[str] | None = None, legal: list[str] | None = None, quality: list[str] | None = None, observed_from: str | None = None, observed_until: str | None = None, current_use: list[str] | None = None, approved_only: bool = False) -> DataFrame:
+    """records with exclusion_code, the first that holds: source, current use, mode, legality, quality, from, until, approval.
+
+    Settings that are None ask nothing; nulls never pass a list. current_use lists the sources with a decision;
+    approved_only asks for a true `approved`. Source ids are compared folded, with _ for -.
+    """
+    source = lambda c: F.translate(F.lower(F.trim(c)), "-", "_")
+    within = lambda c, allowed: F.coalesce(c.isin(allowed), F.lit(False))
+    folded = lambda xs: [x.strip().casefold().replace("-", "_") for x in xs]
+    at, checks = F.col("observed_at"), []
+    if sources is not None:
+        checks.append((~within(source(F.col("source_id")), folded(sources)), "policy.dataset_source_excluded"))
+    if current_use is not None:
+        checks.append((~within(source(F.col("source_id")), folded(current_use)), "policy.current_use_required"))
+    if modes is not None:
+        checks.append((~within(mode(F.col("mode")), modes), "policy.dataset_mode_excluded"))
+    if legal is not None:
+        checks.append((~within(F.lower("legal_status"), legal), "legality.dataset_status_excluded"))
+    if quality is not None:
+        checks.append((~within(F.lower("quality_status"), quality), "quality.dataset_status_excluded"))
     if observed_from is not None:
-        checks.append(F.when(F.coalesce(at < F.lit(observed_from).cast("timestamp_ntz"), F.lit(True)), "policy.observed_before_window"))
+        checks.append((F.coalesce(at < F.lit(observed_from).cast("timestamp_ntz"), F.lit(True)), "quality.dataset_observed_before"))
     if observed_until is not None:
-        checks.append(F.when(F.coalesce(at >= F.lit(observed_until).cast("timestamp_ntz"), F.lit(True)), "policy.observed_after_window"))
-    return records.withColumn("exclusion_code", F.coalesce(*checks) if checks else F.lit(None).cast("string"))
+        checks.append((F.coalesce(at >= F.lit(observed_until).cast("timestamp_ntz"), F.lit(True)), "quality.dataset_observed_after"))
+    if approved_only:
+        checks.append((~F.coalesce("approved", F.lit(False)), "policy.source_approval_missing"))
+    return records.withColumn("exclusion_code", first_code(*checks) if checks else F.lit(None).cast("string"))
 
 
 def completion_rows(dataset_id: str, assignments: DataFrame, memberships: DataFrame) -> DataFrame:

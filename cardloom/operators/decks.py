@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.storage import written
 from .graph import connected_components
 
 COMMAND = "command"
@@ -35,21 +36,31 @@ def exact_groups(occurrences: DataFrame) -> DataFrame:
 
 
 def revision_groups(occurrences: DataFrame) -> DataFrame:
-    """occurrences(source_id, source_deck_id, deck_id): groups of two or more, named by a hash of their key."""
+    """occurrences(source_id, source_deck_id, deck_id, observed_at and, if there, source_snapshot_id, raw_object_id): groups of two or
+    more in the order of time (none first), deck, snapshot and object, named by a hash of their key. A group is one source's
+    revisions of one deck."""
+    order = F.array_sort(F.collect_list(F.struct("observed_at", "deck_id", *[c for c in ("source_snapshot_id", "raw_object_id") if c in occurrences.columns])))
     ordered = F.to_json(F.struct(F.col("source_deck_id").cast("string").alias("source_deck_id"), F.col("source_id").alias("source_id"), F.lit("source-deck-revision-v1").alias("version")))
-    groups = occurrences.groupBy("source_id", "source_deck_id").agg(F.array_sort(F.collect_list("deck_id")).alias("deck_ids")).where(F.size("deck_ids") > 1)
+    groups = occurrences.groupBy("source_id", "source_deck_id").agg(F.transform(order, lambda x: x["deck_id"]).alias("deck_ids")).where(F.size("deck_ids") > 1)
     return groups.withColumn("group_id", F.concat(F.lit("revision-"), F.left(F.sha2(ordered, 256), F.lit(32))))
 
 
+def canonical_decks(deck_cards: DataFrame) -> DataFrame:
+    """canonical_deck_id (the fingerprint), deck_id (the least of the equal decks)."""
+    return fingerprint(deck_cards).groupBy(F.col("fingerprint").alias("canonical_deck_id")).agg(F.min("deck_id").alias("deck_id"))
+
+
 def near_duplicate_pairs(deck_cards: DataFrame, threshold: float = 0.92) -> DataFrame:
     """left_id < right_id, similarity: sum of least quantities over sum of greatest, by (zone, oracle_id), at threshold or over.
 
     A deck is the multiset of its card copies, ordered rare cards first. Two decks at threshold or over share a card
     within each one's first total - ceil(threshold * total) + 1 copies, so only those meet, on one equi-join; common
     cards are rarely among them. Totals too far apart are dropped, and the pairs that are left are added up over whole decks.
+    Equal decks are one, named by the least id: they make no pairs of their own.
     """
     if threshold <= 0:
         raise ValueError("threshold must be positive")
+    deck_cards = deck_cards.join(written(canonical_decks(deck_cards), "canonical").select("deck_id"), "deck_id", "left_semi")
     items = deck_cards.groupBy("deck_id", "zone", "oracle_id").agg(F.sum("quantity").cast("long").alias("q"))
     totals = items.groupBy("deck_id").agg(F.sum("q").alias("total"))
     decks = items.groupBy("zone", "oracle_id").agg(F.count("*").alias("decks"))
@@ -68,12 +79,13 @@ def near_duplicate_pairs(deck_cards: DataFrame, threshold: float = 0.92) -> Data
     return common.select("left_id", "right_id", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
-def near_duplicate_clusters(deck_cards: DataFrame, threshold: float = 0.92, version: str = "near-v1") -> DataFrame:
-    """cluster_id, deck_ids: the closure of the pairs; the id hashes the algorithm, the members and the threshold."""
+def near_duplicate_clusters(deck_cards: DataFrame, threshold: float = 0.92, version: str = "near-duplicate-v1") -> DataFrame:
+    """cluster_id, component (least deck id), canonical_deck_ids: the closure of the pairs; the id hashes the algorithm, the members' fingerprints and the threshold."""
     pairs = near_duplicate_pairs(deck_cards, threshold).select(F.col("left_id").alias("a"), F.col("right_id").alias("b"))
-    members = connected_components(pairs).groupBy("component").agg(F.array_sort(F.collect_list(F.col("node").cast("string"))).alias("deck_ids"))
-    body = F.concat(F.lit('{"algorithm":"quantity_weighted_jaccard","canonical_deck_ids":'), F.to_json("deck_ids"), F.lit(f',"threshold":{json.dumps(threshold)},"version":{json.dumps(version)}}}'))
-    return members.select("component", "deck_ids", F.concat(F.lit("near-"), F.left(F.sha2(body, 256), F.lit(32))).alias("cluster_id"))
+    found = connected_components(pairs).withColumnRenamed("node", "deck_id").join(canonical_decks(deck_cards), "deck_id")
+    members = found.groupBy("component").agg(F.array_sort(F.collect_list("canonical_deck_id")).alias("canonical_deck_ids"))
+    body = F.concat(F.lit('{"algorithm":"quantity_weighted_jaccard","canonical_deck_ids":'), F.to_json("canonical_deck_ids"), F.lit(f',"threshold":{json.dumps(threshold)},"version":{json.dumps(version)}}}'))
+    return members.select("component", "canonical_deck_ids", F.concat(F.lit("near-"), F.left(F.sha2(body, 256), F.lit(32))).alias("cluster_id"))
 
 
 def cooccurrence(deck_cards: DataFrame) -> DataFrame:

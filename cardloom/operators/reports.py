@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 
 def source_summary(decks: DataFrame) -> DataFrame:
-    """decks(deck_id, source_id, canonical_deck_id, observed_at, complete, resolved, usable_outcome, unresolved_cards): one row for each source and, with a null source, for all."""
+    """decks(deck_id, source_id, canonical_deck_id, observed_at, complete, resolved, usable_outcome, full_pod, cards, unresolved_cards,
+    legal_status, quality_status, mode, commanders): one row for each source and, with a null source, for all."""
+    known = lambda c, v: F.count_if(F.coalesce(F.col(c) == v, F.lit(False)))
     return decks.rollup("source_id").agg(
         F.count("*").alias("decks"),
         F.count_distinct("canonical_deck_id").alias("distinct_decks"),
@@ -15,17 +17,30 @@ def source_summary(decks: DataFrame) -> DataFrame:
         F.count_if("complete").alias("complete_decks"),
         F.count_if("resolved").alias("resolved_decks"),
         F.count_if("usable_outcome").alias("usable_outcomes"),
+        F.count_if("full_pod").alias("full_pods"),
+        F.sum("cards").alias("cards"),
+        F.sum(F.col("cards") - F.col("unresolved_cards")).alias("resolved_cards"),
         F.sum("unresolved_cards").alias("unresolved_cards"),
+        F.count_if(F.col("commanders") > 0).alias("commander_decks"),
+        F.count_if(F.col("commanders") == 0).alias("missing_commander"),
+        known("legal_status", "unknown").alias("legality_unknown"),
+        known("legal_status", "legal").alias("legal_decks"),
+        known("quality_status", "accepted").alias("quality_accepted"),
+        known("mode", "competitive").alias("competitive_decks"),
+        known("mode", "unknown").alias("mode_unknown"),
+        F.count_if(F.col("observed_at").isNull()).alias("missing_observed_at"),
         F.min("observed_at").alias("first_observed"),
         F.max("observed_at").alias("last_observed"),
     )
 
 
-def recommended_use(summary: DataFrame) -> DataFrame:
-    """The first that holds: performance modelling, completion training, conditional training, audit only."""
+def recommended_use(summary: DataFrame, research_only: list[str] | None = None) -> DataFrame:
+    """The first that holds: research only (a list of sources), performance modelling (usable outcomes and full pods),
+    completion training (complete decklists and all cards resolved), conditional training, audit only."""
     use = (
-        F.when(F.col("usable_outcomes") == F.col("decks"), "performance_modeling_candidate")
-        .when((F.col("complete_decks") > 0) & (F.col("resolved_decks") == F.col("decks")), "deck_completion_training_candidate")
+        F.when(F.coalesce(F.col("source_id").isin(research_only or []), F.lit(False)), "research_only")
+        .when((F.col("usable_outcomes") > 0) & (F.col("full_pods") > 0), "performance_modeling_candidate")
+        .when((F.col("complete_decks") > 0) & (F.col("resolved_cards") == F.col("cards")) & (F.col("cards") > 0), "deck_completion_training_candidate")
         .when(F.col("complete_decks") > 0, "deck_completion_training_conditional")
         .otherwise("audit_only")
     )
@@ -68,3 +83,23 @@ def ranking_metrics(ranked: DataFrame, k: int = 25) -> DataFrame:
     return found.where("n > 0").select("example_id", (F.col("hits") / F.col("n")).alias("recall"), F.round(F.col("dcg") / ideal, 9).alias("ndcg"), (1 / F.col("first")).alias("reciprocal_rank"))
 
 
+def finding_counts(records: DataFrame) -> DataFrame:
+    """records(findings array): how many records have each code."""
+    return records.select(F.explode(F.array_distinct("findings")).alias("finding_code")).groupBy("finding_code").agg(F.count("*").alias("n"))
+
+
+def resolution_report(resolved: DataFrame) -> DataFrame:
+    """One row of counts over resolved(method, status): entries, statuses, and the methods of those resolved."""
+    by = lambda m: F.count_if((F.col("status") == "resolved") & (F.col("method") == m)).alias(f"{m}_matches")
+    methods = ("source_identifier", "exact_identifier", "exact_name", "split_face", "alias")
+    out = resolved.agg(F.count("*").alias("total_entries"), *[F.count_if(F.col("status") == s).alias(f"{s}_entries") for s in ("resolved", "ambiguous", "unresolved", "rejected")], *[by(m) for m in methods])
+    exact = sum((F.col(f"{m}_matches") for m in methods[1:4]), F.col(f"{methods[0]}_matches"))
+    return out.withColumn("exact_matches", exact).withColumn("failure_count", F.col("ambiguous_entries") + F.col("unresolved_entries") + F.col("rejected_entries"))
+
+
+def deduplication_report(exact: DataFrame, revisions: DataFrame, clusters: DataFrame, threshold: float, version: str = "near-duplicate-v1") -> DataFrame:
+    """One row: exact groups, occurrences in them, groups of several sources, revision groups and near-duplicate clusters."""
+    a = exact.agg(F.count("*").alias("exact_duplicate_groups"), F.coalesce(F.sum("occurrences"), F.lit(0)).alias("exact_duplicate_occurrences"), F.count_if("cross_source").alias("cross_source_exact_groups"))
+    b, c = revisions.agg(F.count("*").alias("revision_groups")), clusters.agg(F.count("*").alias("near_duplicate_clusters"))
+    # three rows of one
+    return a.crossJoin(b).crossJoin(c).select("*", F.lit("quantity_weighted_jaccard").alias("near_duplicate_algorithm"), F.lit(version).alias("near_duplicate_version"), F.lit(float(threshold)).alias("near_duplicate_threshold"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import findings, first_code
 
+# The findings that leave a deck's legality open.
 UNKNOWN = ("legality.ruleset_unresolved", "legality.ruleset_ambiguous", "legality.card_fact_missing", "legality.command_zone_unverified")
 
 
@@ -23,39 +24,50 @@ def applicable_ruleset(decks: DataFrame, rulesets: DataFrame) -> DataFrame:
     return best.select("deck_id", "observed_at", F.when(code.isNull(), F.get(top, F.lit(0))["ruleset_version"]).alias("ruleset_version"), code.alias("selection_code"))
 
 
-def legality(decks: DataFrame, deck_cards: DataFrame, facts: DataFrame, rules: dict, verified_command_zone: bool = False) -> DataFrame:
-    """decks(deck_id, selection_code): findings (sorted) and status; any finding of UNKNOWN makes it unknown, any other illegal.
+def legality(decks: DataFrame, deck_cards: DataFrame, facts: DataFrame, rulesets: DataFrame, verified_command_zone: bool = False) -> DataFrame:
+    """decks(deck_id, ruleset_version, selection_code): findings (sorted) and status; any finding of UNKNOWN makes it unknown, any other illegal.
 
-    facts(oracle_id, colors array, legal, is_basic_land, banned, banned_as_commander). The sideboard doesn't count.
-    rules: required_total, min_commanders, max_commanders, copy_limit.
+    Each deck is judged by its own ruleset. facts(oracle_id, colors array, legal, is_basic_land). rulesets(ruleset_version,
+    required_total, copy_limit, min_commanders, max_commanders, banned array, banned_as_companion array, unlimited array,
+    overrides map of copy limits): a driver-side list, so it is broadcast. Command zone and mainboard count; of the
+    other zones the companion alone matters.
     """
-    counted = deck_cards.where(F.col("zone").isin("command", "mainboard"))
-    copies = counted.groupBy("deck_id", "oracle_id").agg(F.sum("quantity").alias("q"), F.bool_or(F.col("zone") == "command").alias("commands"), F.sum(F.when(F.col("zone") == "command", F.col("quantity")).otherwise(0)).alias("cq"), F.bool_or(F.col("zone") == "mainboard").alias("main"))
-    rows = copies.join(facts.withColumn("__fact", F.lit(True)), "oracle_id", "left")
-    has = F.col("__fact").isNotNull()
-    colors = F.array_distinct(F.flatten(F.collect_list(F.when(F.col("commands") & has, F.col("colors")))))
+    rules = F.broadcast(rulesets)
+    chosen = decks.where("selection_code is null").select("deck_id", "ruleset_version")
+    counted = deck_cards.where(F.col("zone").isin("command", "mainboard", "companion"))
+    part = lambda zone: F.sum(F.when(F.col("zone") == zone, F.col("quantity")).otherwise(0))
+    copies = counted.groupBy("deck_id", "oracle_id").agg(part("command").alias("cq"), part("mainboard").alias("mq"), *[F.bool_or(F.col("zone") == z).alias(z) for z in ("command", "mainboard", "companion")])
+    rows = copies.join(chosen, "deck_id").join(facts.withColumn("__fact", F.lit(True)), "oracle_id", "left").join(rules, "ruleset_version")
+    played = F.col("command") | F.col("mainboard")
+    has = F.col("__fact").isNotNull() & played
+    listed = lambda c: F.array_contains(c, F.col("oracle_id"))
+    limit = F.coalesce(F.try_element_at("overrides", F.col("oracle_id")), F.col("copy_limit"))
     each = rows.groupBy("deck_id").agg(
-        F.sum("q").alias("total"), F.sum("cq").alias("commanders"), F.bool_or("main").alias("main"),
-        F.bool_or(~has).alias("missing"),
-        F.bool_or(has & ~F.col("is_basic_land") & (F.col("q") > rules["copy_limit"])).alias("singleton"),
+        F.sum(F.col("cq") + F.col("mq")).alias("total"), F.sum("cq").alias("commanders"), F.bool_or("mainboard").alias("main"),
+        F.bool_or(F.col("__fact").isNull() & played).alias("missing"),
+        F.bool_or(has & ~F.col("is_basic_land") & ~listed("unlimited") & (F.col("cq") + F.col("mq") > limit)).alias("singleton"),
         F.bool_or(has & ~F.coalesce("legal", F.lit(False))).alias("not_legal"),
-        F.bool_or(has & F.coalesce("banned", F.lit(False))).alias("banned"),
-        F.bool_or(F.col("commands") & F.coalesce("banned_as_commander", F.lit(False))).alias("commander_banned"),
-        colors.alias("allowed"), F.array_distinct(F.flatten(F.collect_list(F.when(has, F.col("colors"))))).alias("used"),
+        F.bool_or(has & listed("banned")).alias("banned"),
+        F.bool_or(F.col("command") & listed("banned")).alias("commander_banned"),
+        F.bool_or(F.col("companion") & listed("banned_as_companion")).alias("companion_banned"),
+        F.array_distinct(F.flatten(F.collect_list(F.when(F.col("command") & has, F.col("colors"))))).alias("allowed"),
+        F.array_distinct(F.flatten(F.collect_list(F.when(has, F.col("colors"))))).alias("used"),
     )
-    d = decks.join(each, "deck_id", "left")
+    d = decks.join(each, "deck_id", "left").join(rules.select("ruleset_version", "required_total", "min_commanders", "max_commanders"), "ruleset_version", "left")
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    none = F.lit(0)
     found = findings(
         (~flag("main"), "legality.mainboard_missing"),
-        (~F.coalesce(F.col("commanders"), F.lit(0)).between(rules["min_commanders"], rules["max_commanders"]), "legality.command_zone_size_invalid"),
+        (~F.coalesce(F.col("commanders"), none).between(F.col("min_commanders"), F.col("max_commanders")), "legality.command_zone_size_invalid"),
         (F.lit(not verified_command_zone), "legality.command_zone_unverified"),
-        (F.coalesce(F.col("total"), F.lit(0)) != rules["required_total"], "legality.deck_size_invalid"),
+        (F.coalesce(F.col("total"), none) != F.col("required_total"), "legality.deck_size_invalid"),
         (flag("missing"), "legality.card_fact_missing"),
         (flag("singleton"), "legality.singleton_violation"),
         (flag("not_legal"), "legality.card_not_commander_legal"),
         (F.size(F.array_except("used", "allowed")) > 0, "legality.color_identity_violation"),
         (flag("banned"), "legality.banned_card"),
         (flag("commander_banned"), "legality.commander_banned"),
+        (flag("companion_banned"), "legality.banned_as_companion"),
     )
     out = d.select("deck_id", F.when(F.col("selection_code").isNotNull(), F.array("selection_code")).otherwise(found).alias("findings"))
     unknown = F.arrays_overlap("findings", F.array(*[F.lit(x) for x in UNKNOWN]))
@@ -68,12 +80,14 @@ def quality(decks: DataFrame) -> DataFrame:
     return decks.select("deck_id", found.alias("findings"), F.when(F.col("quarantined"), "quarantined").when(F.size(found) > 0, "review").otherwise("accepted").alias("status"))
 
 
-def eligibility(records: DataFrame, statuses: tuple[str, ...] = ("accepted",), legal_only: bool = False) -> DataFrame:
-    """records(..., complete_decklist, resolution_complete, legal_status, quality_status) with exclusion_code, the first that holds."""
-    checks = [(~F.col("complete_decklist"), "quality.decklist_incomplete"), (~F.col("resolution_complete"), "quality.resolution_incomplete")]
+def eligibility(records: DataFrame, statuses: tuple[str, ...] = ("accepted",), legal_only: bool = False, complete: bool = True, resolved: bool = True) -> DataFrame:
+    """records(..., complete_decklist, resolution_complete, legal_status, quality_status) with exclusion_code, the first that holds. A null status has not been evaluated."""
+    checks = [(~F.col("complete_decklist"), "quality.decklist_incomplete")] if complete else []
+    if resolved:
+        checks += [(~F.col("resolution_complete"), "resolution.card_unresolved")]
     if legal_only:
-        checks += [(F.col("legal_status").isNull(), "quality.legality_evaluation_missing"), (F.col("legal_status") != "legal", "policy.legality_not_accepted")]
-    checks += [(F.col("quality_status").isNull(), "quality.quality_evaluation_missing"), (~F.col("quality_status").isin(*statuses), "policy.quality_not_accepted")]
+        checks += [(F.col("legal_status").isNull(), "legality.evaluation_missing"), (F.col("legal_status") != "legal", "legality.deck_not_eligible")]
+    checks += [(F.col("quality_status").isNull(), "quality.evaluation_missing"), (~F.col("quality_status").isin(*statuses), "quality.deck_not_eligible")]
     return records.withColumn("exclusion_code", first_code(*checks))
 
 

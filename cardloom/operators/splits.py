@@ -20,8 +20,8 @@ def rank(split: Column) -> Column:
 
 def promote(records: DataFrame, memberships: DataFrame) -> DataFrame:
     """records(record_id, split) with each record moved to the latest split of all records that groups (record_id, group_id) chain it to."""
-    # records meet by way of one representative of each group, so a group of n members has n - 1 edges
-    first = memberships.groupBy("group_id").agg(F.min("record_id").alias("a"))
+    # records meet by way of one representative of each group, so a group of n members has n - 1 edges; groups of one have none
+    first = memberships.groupBy("group_id").agg(F.min("record_id").alias("a"), F.max("record_id").alias("z")).where("a <> z").drop("z")
     edges = memberships.join(first, "group_id").select("a", F.col("record_id").alias("b"))
     found = connected_components(edges)
     placed = records.join(found, records.record_id == found.node, "left").select("record_id", "split", F.coalesce("component", "record_id").alias("component"))
@@ -29,6 +29,28 @@ def promote(records: DataFrame, memberships: DataFrame) -> DataFrame:
     return placed.join(last, "component").select("record_id", F.col("split").alias("provisional_split"), F.element_at(F.array(*[F.lit(n) for n in NAMES]), F.col("last").cast("int")).alias("split"))
 
 
+def benchmark_groups(deck_cards: DataFrame, fingerprints: DataFrame, low_data_max: int = 1) -> DataFrame:
+    """deck_id, benchmark, group_id: the holdout groups of the cold-start benchmarks.
+
+    cold_fingerprint holds out equal decks, cold_command_zone equal command zones, cold_commander each commander, and
+    low_data_commander each commander that low_data_max decks or fewer have.
+    """
+    zone = deck_cards.where("zone = 'command'").select("deck_id", F.lower(F.col("oracle_id").cast("string")).alias("c"), F.col("quantity").cast("long").alias("q"))
+    cards = zone.groupBy("deck_id").agg(F.array_sort(F.collect_list(F.struct("c", "q"))).alias("cards"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("cards", lambda x: F.concat(F.lit('["'), x["c"], F.lit('",'), x["q"].cast("string"), F.lit("]"))), ","), F.lit("]"))
+    every = fingerprints.select("deck_id", "fingerprint").join(cards, "deck_id", "left")
+    commanders = zone.select("deck_id", "c").distinct()
+    few = commanders.groupBy("c").agg(F.count("*").alias("n")).where(F.col("n") <= low_data_max).select("c")
+    each = every.select("deck_id").join(commanders, "deck_id", "left")
+    row = lambda name, ident: ("deck_id", F.lit(name).alias("benchmark"), ident.alias("group_id"))
+    return (
+        every.select(*row("cold_fingerprint", F.concat(F.lit("fingerprint:"), "fingerprint")))
+        .union(every.select(*row("cold_command_zone", F.concat(F.lit("command-zone-"), F.left(F.sha2(F.coalesce(text, F.lit("[]")), 256), F.lit(32))))))
+        .union(each.select(*row("cold_commander", F.concat(F.lit("commander:"), F.coalesce("c", F.lit("missing"))))))
+        .union(commanders.join(few, "c").select(*row("low_data_commander", F.concat(F.lit("low-data-commander:"), "c"))))
+    )
+
+
 def tournament(records: DataFrame, train_until: str, validation_until: str) -> DataFrame:
     """records(record_id, event_id, observed_at, deck_id, complete_event, complete_decklist): split or exclusion code, and familiar or unseen.
 

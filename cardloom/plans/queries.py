@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import catalog, datasets, decks, reports, resolution, rules, splits
+from ..functions.storage import written
+from ..operators import catalog, datasets, decks, events, reports, resolution, rules, splits
 
 TRAIN_UNTIL, VALIDATION_UNTIL = "1999-01-01", "2000-07-01"
-RULES = {"required_total": 100, "min_commanders": 1, "max_commanders": 20, "copy_limit": 40}
+NEAR = 0.6
 
 
 def t(spark, d, name) -> DataFrame:
@@ -43,25 +44,28 @@ def q_revision(spark, d):
 
 
 def q_near_pairs(spark, d):
-    return decks.near_duplicate_pairs(deck_cards(spark, d), 0.6).withColumn("similarity", F.round("similarity", 9))
+    return decks.near_duplicate_pairs(deck_cards(spark, d), NEAR).withColumn("similarity", F.round("similarity", 9))
 
 
 def q_near_clusters(spark, d):
-    return decks.near_duplicate_clusters(deck_cards(spark, d), 0.6).select("cluster_id", F.col("component").alias("first_id"), F.concat_ws(",", "deck_ids").alias("deck_ids"))
+    return decks.near_duplicate_clusters(deck_cards(spark, d), NEAR).select("cluster_id", F.col("component").alias("first_id"), F.concat_ws(",", "canonical_deck_ids").alias("canonical_deck_ids"))
 
 
 def memberships(spark, d) -> DataFrame:
-    exact = printed(spark, d).select(F.col("deck_id").alias("record_id"), F.concat(F.lit("exact:"), "fingerprint").alias("group_id"))
+    """Exact, revision and near groups of the orders, written once: several steps read them."""
+    prints = written(printed(spark, d), "prints")
+    exact = prints.select(F.col("deck_id").alias("record_id"), F.concat(F.lit("exact:"), "fingerprint").alias("group_id"))
     revision = decks.revision_groups(occurrences(spark, d)).select(F.explode("deck_ids").alias("record_id"), F.concat(F.lit("revision:"), "group_id").alias("group_id"))
-    return exact.union(revision)
+    near = decks.near_duplicate_clusters(deck_cards(spark, d), NEAR).select(F.explode("canonical_deck_ids").alias("fingerprint"), F.concat(F.lit("near:"), "cluster_id").alias("group_id"))
+    return written(exact.union(revision).union(prints.join(near, "fingerprint").select(F.col("deck_id").alias("record_id"), "group_id")), "memberships")
 
 
 def q_provisional(spark, d):
     return occurrences(spark, d).select(F.col("deck_id").alias("record_id"), splits.provisional(F.col("observed_at"), TRAIN_UNTIL, VALIDATION_UNTIL).alias("split"))
 
 
-def q_promoted(spark, d):
-    return splits.promote(q_provisional(spark, d), memberships(spark, d))
+def q_promoted(spark, d, groups=None):
+    return splits.promote(q_provisional(spark, d), groups if groups is not None else memberships(spark, d))
 
 
 def q_split_counts(spark, d):
@@ -75,7 +79,8 @@ def q_leakage(spark, d):
 
 def q_leakage_after(spark, d):
     """The same over promoted splits: none."""
-    return splits.leakage(memberships(spark, d), q_promoted(spark, d)).select("group_id", F.concat_ws(",", "splits").alias("splits"))
+    groups = memberships(spark, d)
+    return splits.leakage(groups, q_promoted(spark, d, groups)).select("group_id", F.concat_ws(",", "splits").alias("splits"))
 
 
 def entries(spark, d) -> DataFrame:
@@ -101,17 +106,25 @@ def rulesets(spark) -> DataFrame:
     return spark.createDataFrame([("r1", day(1995, 6, 1), day(1997, 1, 1)), ("r2", day(1996, 6, 1), day(1999, 1, 1)), ("r3", day(1999, 1, 1), None), ("r4", day(2000, 1, 1), None), ("r4b", day(2000, 1, 1), day(2000, 7, 1))], "ruleset_version string, effective_from date, effective_until date")
 
 
+def ruleset_lists(spark, d) -> DataFrame:
+    """What each ruleset asks; the lists name parts by key, as many for any size of the tables."""
+    rows = [("r1", 100, 40, 1, 20, [3, 7, 11], [5, 50], [2], {4: 10}), ("r2", 120, 30, 1, 30, [7, 13], [], [], {}), ("r3", 100, 45, 1, 50, [], [50], [1, 2, 3], {5: 50}), ("r4", 80, 20, 5, 25, [1, 2], [], [], {}), ("r4b", 90, 20, 1, 25, [4], [9], [6], {8: 5})]
+    return spark.createDataFrame(rows, "ruleset_version string, required_total int, copy_limit int, min_commanders int, max_commanders int, banned array<long>, banned_as_companion array<long>, unlimited array<long>, overrides map<long,int>")
+
+
 def q_ruleset(spark, d):
     return rules.applicable_ruleset(occurrences(spark, d).select("deck_id", "observed_at"), rulesets(spark)).select("deck_id", "ruleset_version", "selection_code")
 
 
 def facts(spark, d) -> DataFrame:
-    p = t(spark, d, "part").where("p_partkey % 97 <> 0")
-    return p.select(F.col("p_partkey").alias("oracle_id"), F.array(F.col("p_type")).alias("colors"), (F.col("p_size") > 2).alias("legal"), (F.col("p_size") == 50).alias("is_basic_land"), (F.col("p_brand") == "Brand#1").alias("banned"), (F.col("p_brand") == "Brand#2").alias("banned_as_commander"))
+    return t(spark, d, "part").select(F.col("p_partkey").alias("oracle_id"), F.array(F.col("p_type")).alias("colors"), (F.col("p_size") > 2).alias("legal"), (F.col("p_size") == 50).alias("is_basic_land"))
 
 
 def q_legality(spark, d):
-    out = rules.legality(q_ruleset(spark, d), deck_cards(spark, d), facts(spark, d), RULES, verified_command_zone=True)
+    """The greatest part of an order is also its companion."""
+    cards = deck_cards(spark, d)
+    companions = cards.groupBy("deck_id").agg(F.lit("companion").alias("zone"), F.max("oracle_id").alias("oracle_id"), F.lit(1).cast("long").alias("quantity"))
+    out = rules.legality(q_ruleset(spark, d), cards.union(companions), facts(spark, d), ruleset_lists(spark, d), verified_command_zone=True)
     return out.select("deck_id", F.concat_ws(",", "findings").alias("findings"), "status")
 
 
@@ -174,11 +187,16 @@ def q_identifiers(spark, d):
 def metrics(spark, d) -> DataFrame:
     o = occurrences(spark, d).join(decks.fingerprint(deck_cards(spark, d)).withColumnRenamed("fingerprint", "canonical_deck_id"), "deck_id", "left")
     g = graded(spark, d).select("deck_id", "has_mainboard", "resolution_rate")
-    return o.join(g, "deck_id").select("deck_id", "source_id", "canonical_deck_id", "observed_at", F.col("has_mainboard").alias("complete"), (F.coalesce("resolution_rate", F.lit(0.0)) == 1).alias("resolved"), (F.col("source_deck_id") % 3 == 0).alias("usable_outcome"), (F.coalesce("resolution_rate", F.lit(0.0)) < 1).cast("int").alias("unresolved_cards"))
+    q = rules.quality(graded(spark, d)).select("deck_id", F.col("status").alias("quality_status"))
+    legal = q_legality(spark, d).select("deck_id", F.col("status").alias("legal_status"))
+    lines = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("deck_id")).agg(F.count("*").alias("cards"), F.count_if(F.col("l_returnflag") == "R").alias("unresolved_cards"))
+    status = t(spark, d, "orders").select(F.col("o_orderkey").alias("deck_id"), scalars.mode(F.regexp_replace("o_orderstatus", "F", " cEDH")).alias("mode"))
+    rows = o.join(g, "deck_id").join(q, "deck_id").join(legal, "deck_id").join(status, "deck_id").join(lines, "deck_id", "left")
+    return rows.select("deck_id", "source_id", "canonical_deck_id", "observed_at", F.col("has_mainboard").alias("complete"), (F.coalesce("resolution_rate", F.lit(0.0)) == 1).alias("resolved"), ((F.col("source_deck_id") % 3 == 0) & (F.col("source_id") != "5-LOW")).alias("usable_outcome"), ((F.col("source_deck_id") % 5 == 0) & (F.col("source_id") != "2-HIGH")).alias("full_pod"), F.coalesce("cards", F.lit(0)).alias("cards"), F.coalesce("unresolved_cards", F.lit(0)).alias("unresolved_cards"), "legal_status", "quality_status", "mode", F.when(F.col("has_mainboard"), 1).otherwise(0).alias("commanders"))
 
 
 def q_summary(spark, d):
-    return reports.recommended_use(reports.source_summary(metrics(spark, d)))
+    return reports.recommended_use(reports.source_summary(metrics(spark, d)), ["4-NOT SPECIFIED"])
 
 
 def q_overlap(spark, d):
@@ -235,7 +253,8 @@ def q_conflicts(spark, d):
 
 
 def q_completion_rows(spark, d):
-    rows = datasets.completion_rows("orders", q_promoted(spark, d).select("record_id", "split"), memberships(spark, d))
+    groups = memberships(spark, d)
+    rows = datasets.completion_rows("orders", q_promoted(spark, d, groups).select("record_id", "split"), groups)
     return rows.withColumn("group_ids", F.concat_ws(",", "group_ids"))
 
 
@@ -250,10 +269,85 @@ def q_masks(spark, d):
 
 def q_filter(spark, d):
     rows = t(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"), F.col("o_orderpriority").alias("source_id"), scalars.mode(F.col("o_orderstatus")).alias("mode"), F.col("o_orderdate").alias("observed_at"))
-    out = datasets.filter_records(rows, sources=["1-URGENT", "2-HIGH", "5-LOW"], modes=["f", "o"], observed_from="1996-01-01", observed_until="2000-01-01")
+    rows = rows.withColumn("approved", F.col("record_id") % 7 != 0)
+    out = datasets.filter_records(rows, sources=["1-URGENT", "2-HIGH", "5-LOW"], modes=["f", "o"], observed_from="1996-01-01", observed_until="2000-01-01", current_use=["1-urgent", "5-Low"], approved_only=True)
     return out.groupBy("exclusion_code").agg(F.count("*").alias("n"))
 
 
+def q_benchmark_groups(spark, d):
+    cards = deck_cards(spark, d)
+    return splits.benchmark_groups(cards, decks.fingerprint(cards), 3)
+
+
+def q_card_resolution(spark, d):
+    """Lines ask for their part by key and supplier, some by a name alone; part names are full names, part types face names, brands aliases."""
+    text = lambda c: F.col(c).cast("string")
+    none = F.lit(None).cast("string")
+    p = t(spark, d, "part")
+    by_id = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").distinct()
+    ident = lambda i, name, value: F.struct(F.lit(i).alias("priority"), F.lit(name).alias("name"), value.alias("value"))
+    items = by_id.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("item_id"), F.lit("").alias("value"), F.array(ident(0, "uuid", text("l_partkey")), ident(1, "oracleId", (F.col("l_partkey") + F.col("l_linenumber") % 2).cast("string"))).alias("identifiers"))
+    empty = F.array().cast("array<struct<priority:int,name:string,value:string>>")
+    asked = lambda df, tag, key, name: df.select(F.concat(F.lit(tag), text(key)).alias("item_id"), F.upper(name).alias("value"), empty.alias("identifiers"))
+    items = items.union(asked(p, "n", "p_partkey", "p_name")).union(asked(p, "f", "p_partkey", "p_type")).union(asked(p, "a", "p_partkey", "p_brand")).union(asked(t(spark, d, "nation"), "x", "n_nationkey", "n_name"))
+    row = lambda df, name, oracle: df.select(F.col(name).alias("name"), oracle.alias("oracle_id"), none.alias("printing_id"), none.alias("face_id"))
+    ids = p.select(F.lit("uuid").alias("name"), text("p_partkey").alias("value"), text("p_partkey").alias("oracle_id"), text("p_partkey").alias("printing_id"), none.alias("face_id"))
+    ids = ids.union(p.select(F.lit("oracleId"), text("p_partkey"), text("p_partkey"), none, none))
+    faces = row(p.where("p_size < 3"), "p_type", text("p_partkey")).union(row(p.where("p_size = 9"), "p_name", text("p_partkey")))
+    brands = p.groupBy("p_brand").agg(F.min("p_partkey").alias("k")).withColumn("k", F.when(F.col("p_brand") == "Brand#3", -1).otherwise(F.col("k")))
+    return resolution.resolve(items, ids, row(p, "p_name", text("p_partkey")), faces, row(brands, "p_brand", text("k")))
+
+
+def q_resolution_report(spark, d):
+    return reports.resolution_report(q_card_resolution(spark, d))
+
+
+def q_dedup_report(spark, d):
+    cards = deck_cards(spark, d)
+    return reports.deduplication_report(decks.exact_groups(printed(spark, d)), decks.revision_groups(occurrences(spark, d)), decks.near_duplicate_clusters(cards, NEAR), NEAR)
+
+
+def q_finding_counts(spark, d):
+    return reports.finding_counts(q_legality(spark, d).select(F.split("findings", ",").alias("findings")).where("findings[0] <> ''"))
+
+
+def pod_members(spark, d) -> DataFrame:
+    """Events of an hour sit at one table; a player's key gives the rest."""
+    e = entries(spark, d)
+    people = events.participant(F.lit("hours"), F.date_format("pod_id", "yyyy-MM-dd HH"), F.when(F.col("event_id") % 9 == 0, F.col("event_id").cast("string")), F.when(F.col("event_id") % 10 < 9, F.concat(F.lit(" Player  "), F.col("seat").cast("string"))))
+    return e.select(F.date_format("pod_id", "yyyy-MM-dd HH").alias("pod_id"), "event_id", F.col("seat").cast("long").alias("seat"), F.when(F.col("event_id") % 97 != 0, F.col("event_id").cast("string")).alias("canonical_deck_id"), "result", F.col("seat").cast("double").alias("points"), (F.col("event_id") % 50).alias("placement"), people.alias("person"))
+
+
+def q_pods(spark, d):
+    members = pod_members(spark, d).withColumn("participant_findings", F.col("person.findings"))
+    tables = members.groupBy("pod_id").agg(F.min("event_id").alias("k")).select("pod_id", F.when(F.col("k") % 11 == 0, "Cancelled ").when(F.col("k") % 7 == 0, F.lit(None)).when(F.col("k") % 5 == 0, "paused").otherwise("complete").alias("source_status"))
+    return events.pods(tables, members).select("pod_id", "members", F.concat_ws(",", "findings").alias("findings"), "status")
+
+
+def q_participants(spark, d):
+    return pod_members(spark, d).select("event_id", "person.reference_id", "person.scope", F.concat_ws(",", "person.findings").alias("findings"))
+
+
+def q_observations(spark, d):
+    """An order is a standing in its customer's event."""
+    c = t(spark, d, "customer").select(F.col("c_custkey").alias("event_id"), F.lit("s").alias("source_id"), F.col("c_nationkey").alias("source_snapshot_id"), F.when(F.col("c_nationkey") == 3, F.lit(None)).when(F.col("c_nationkey") < 20, " cEDH ").otherwise("modern").alias("format"), F.when(F.col("c_custkey") % 2 == 0, F.lit("1999-01-01").cast("timestamp_ntz")).alias("observed_at"))
+    o = t(spark, d, "orders").join(t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey", "left")
+    k = F.col("o_orderkey")
+    rows = o.select(k.alias("observation_id"), F.when(k % 31 == 0, -1).otherwise(F.col("o_custkey")).alias("event_id"), F.lit("s").alias("source_id"), F.when(k % 29 == 0, -1).otherwise(F.col("c_nationkey")).alias("source_snapshot_id"), F.when(k % 23 != 0, k.cast("string")).alias("canonical_deck_id"), F.when(k % 19 != 0, F.col("o_orderdate")).alias("observed_at"), F.when(k % 17 != 0, 1).alias("wins"), F.lit(0).alias("losses"), F.when(k % 13 != 0, 0).alias("draws"), F.when(k % 11 != 0, "match").alias("semantics"), F.array().cast("array<string>").alias("participant_findings"))
+    return events.observations(rows, c).select("observation_id", F.concat_ws(",", "findings").alias("findings"), "status")
+
+
+def q_combos(spark, d):
+    """A customer's orders are the cards of a combination, by role; ids are the keys written as UUIDs, bad for some."""
+    uuid = lambda c: F.concat(F.lit("ABCDEF00-0000-4000-8000-"), F.lpad(c.cast("string"), 12, "0"))
+    o = t(spark, d, "orders")
+    cards = o.select(F.col("o_custkey").alias("combo_id"), F.when(F.col("o_orderkey") % 41 == 0, "no").otherwise(uuid(F.col("o_orderkey") % 50)).alias("oracle_id"), F.when(F.col("o_orderstatus") == "F", "required").when(F.col("o_orderstatus") == "O", "optional").otherwise("enabler").alias("role"), (F.col("o_orderkey") % 37).cast("int").alias("quantity"))
+    c, k = t(spark, d, "customer"), F.col("c_custkey")
+    texts = lambda cond: F.when(cond, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    records = c.select(k.alias("combo_id"), texts(k % 7 != 0).alias("requirements"), texts(k % 5 != 0).alias("results"), F.when(k % 3 == 0, True).when(k % 3 == 1, False).alias("compatible"), F.when(k % 4 == 0, F.array(uuid(k))).when(k % 4 == 1, F.array(F.lit("bad"))).otherwise(F.array().cast("array<string>")).alias("commanders"))
+    return events.combos(records, cards).select("combo_id", F.size("required").alias("required"), F.size("optional").alias("optional"), F.concat_ws(",", "findings").alias("findings"), "status")
+
+
 QUERIES = {
     "deck_fingerprint": lambda s, d: decks.fingerprint(deck_cards(s, d)), "exact_duplicates": q_exact, "revision_groups": q_revision,
     "near_duplicate_pairs": q_near_pairs, "near_duplicate_clusters": q_near_clusters,
@@ -267,4 +361,6 @@ QUERIES = {
     "source_summary": q_summary, "cross_source_overlap": q_overlap, "first_claim_outcome": q_first_claim, "mode_histogram": q_modes,
     "decklist_parse": q_decklist, "top_commanders": q_top, "card_popularity": q_popularity, "benchmark_ndcg": q_ranking, "privacy_mask": q_mask,
     "card_catalog": q_catalog, "card_conflicts": q_conflicts, "completion_rows": q_completion_rows, "dataset_reconciliation": q_reconciliation, "completion_masks": q_masks, "dataset_filter": q_filter,
+    "benchmark_groups": q_benchmark_groups, "card_resolution": q_card_resolution, "resolution_report": q_resolution_report, "deduplication_report": q_dedup_report, "finding_counts": q_finding_counts,
+    "pod_normalization": q_pods, "participant_references": q_participants, "event_observations": q_observations, "combo_normalization": q_combos,
 }

@@ -12,7 +12,7 @@ def test_filters_and_reconciliation(spark):
     t = datetime.datetime
     rows = spark.createDataFrame([(1, "a", "casual", t(2024, 1, 1)), (2, "b", "casual", t(2024, 1, 1)), (3, "a", None, t(2024, 1, 1)), (4, "a", "casual", t(2020, 1, 1)), (5, "a", "casual", None)], "record_id long, source_id string, mode string, observed_at timestamp_ntz")
     out = datasets.filter_records(rows, sources=["a"], modes=["casual"], observed_from="2023-01-01").cache()
-    assert {r.record_id: r.exclusion_code for r in out.collect()} == {1: None, 2: "policy.source_not_selected", 3: "policy.mode_not_selected", 4: "policy.observed_before_window", 5: "policy.observed_before_window"}
+    assert {r.record_id: r.exclusion_code for r in out.collect()} == {1: None, 2: "policy.dataset_source_excluded", 3: "policy.dataset_mode_excluded", 4: "quality.dataset_observed_before", 5: "quality.dataset_observed_before"}
     kept, gone = out.where("exclusion_code is null"), out.where("exclusion_code is not null")
     assert tuple(datasets.reconcile(rows, kept, gone, "record_id").first()) == (5, 1, 4, 0, 0, 0)
     assert datasets.reconcile(rows, kept, gone.where("record_id > 2"), "record_id").first().in_neither == 1
