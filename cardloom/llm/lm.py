@@ -27,8 +27,8 @@ COMMON_WORDS = 100_000
 LONGEST_PIECE = 512
 #: Which places each scored place sees: itself and those before it.
 SEES = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))[LEAD:]
-#: Rows that one task sums weights in.
-PARTS = 64
+#: Pieces that weights are cut into to be summed, each in one place.
+PARTS = 16
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -130,17 +130,14 @@ def by_class(v: Vocabulary, c: np.ndarray):
 def target_logs(p, v: Vocabulary, x, target) -> np.ndarray:
     """Natural logs of the targets' probabilities at the scored places: of its class, and of the item within it."""
     t = target.ravel()
-    z, out = [], []
     c = v.cls[t]
-    for i in range(0, len(x), BATCH // 2):
-        own, _ = attend(p, x[i : i + BATCH // 2])
-        y = own @ p["U"]
-        y += p["b"]
-        _, sums = softmax(y)
-        out.append(y[np.arange(len(y)), c[i * STRIDE : i * STRIDE + len(y)]] - np.log(sums))
-        z.append(own)
+    z, _ = attend(p, x)
+    y = z @ p["U"]
+    y += p["b"]
+    _, sums = softmax(y)
+    out = y[np.arange(len(y)), c] - np.log(sums)
     order, parts = by_class(v, c)
-    z, out, t = np.concatenate(z)[order], np.concatenate(out)[order], t[order]
+    z, out, t = z[order], out[order], t[order]
     for at, lo, hi in parts:
         y = z[at] @ p["W"][lo:hi].T
         y += p["a"][lo:hi]
@@ -212,17 +209,20 @@ class Adam:
             self.p[k][at] -= rate * m / (np.sqrt(v * root) + 1e-8)
 
 
-def windows(v: Vocabulary, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, targets and the places that count, so that each of items and the end is a target once: windows overlap,
-    and each is scored at its last STRIDE places, after LEAD places of context (starts before the text in the first window)."""
-    n = len(items) + 1
+def windows(v: Vocabulary, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, targets, the places that count, and the text of each window, so that each item of each of texts and its end is a target once.
+
+    Windows overlap, and each is scored at its last STRIDE places, after LEAD places of context (starts before the text in the first window).
+    """
+    n = np.array([len(x) + 1 for x in texts], np.intp)
     count = -(-n // STRIDE)
-    seq = np.full(LEAD + count * STRIDE + 1, v.end, np.intp)
-    seq[: LEAD + 1] = v.bos
-    seq[LEAD + 1 : LEAD + n] = items
-    at = (np.arange(count) * STRIDE)[:, None] + np.arange(CONTEXT)
-    late = at[:, LEAD:]
-    return seq[at], seq[late + 1], late - LEAD < n
+    bos, end = np.full(LEAD + 1, v.bos, np.intp), np.full(STRIDE, v.end, np.intp)
+    seq = np.concatenate([a for x, k in zip(texts, count * STRIDE - n + 1, strict=True) for a in (bos, x, end[:k])])
+    size, owner = LEAD + 1 + count * STRIDE, np.repeat(np.arange(len(texts)), count)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    at = (np.repeat(np.cumsum(size) - size, count) + nth * STRIDE)[:, None] + np.arange(CONTEXT)
+    counts = (nth * STRIDE)[:, None] + np.arange(STRIDE) < n[owner][:, None]
+    return seq[at], seq[at[:, LEAD:] + 1], counts, owner
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -264,28 +264,18 @@ def count_subwords(words: DataFrame, path: str) -> np.ndarray:
     return out
 
 
-def learnt_group(p, v: Vocabulary, texts, step: float) -> tuple[dict[str, np.ndarray], int]:
+def learnt_group(p, v: Vocabulary, texts: list[np.ndarray], step: float) -> tuple[dict[str, np.ndarray], int]:
     """The weights after one pass over the windows of texts (arrays of items), in their order, and the number of targets."""
-    adam, held, n = Adam(p, step), [], 0
-
-    def go():
-        adam.take(backward(adam.p, v, *(np.concatenate(a) for a in zip(*held, strict=True))))
-        held.clear()
-
-    room = BATCH
-    for items in texts:
-        parts, at = windows(v, items), 0
-        n += len(items) + 1
-        while at < len(parts[0]):
-            held.append([a[at : at + room] for a in parts])
-            at += room
-            room = BATCH - sum(len(h[0]) for h in held)
-            if not room:
-                go()
-                room = BATCH
-    if held:
-        go()
-    return adam.p, n
+    adam, left = Adam(p, step), None
+    for i in range(0, len(texts), SLICE):
+        part = windows(v, texts[i : i + SLICE])[:3]
+        if left is not None:
+            part = [np.concatenate(a) for a in zip(left, part, strict=True)]
+        whole = len(part[0]) if i + SLICE >= len(texts) else len(part[0]) // BATCH * BATCH
+        for j in range(0, whole, BATCH):
+            adam.take(backward(adam.p, v, *(a[j : min(j + BATCH, whole)] for a in part)))
+        left = [a[whole:] for a in part]
+    return adam.p, sum(len(x) + 1 for x in texts)
 
 
 def train(docs: DataFrame, v: Vocabulary, subwords: int, path: str) -> dict[str, np.ndarray]:
@@ -297,12 +287,12 @@ def train(docs: DataFrame, v: Vocabulary, subwords: int, path: str) -> dict[str,
     """
     spark = docs.sparkSession
     groups = max(1, -(-subwords // (ROUNDS * GROUP)))
+    tasks = min(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))  # a task adds up its groups' weights before they are dealt
     p = start(v)
     names, shapes = list(p), {k: a.shape for k, a in p.items()}
     flat = np.concatenate([p[k].ravel() for k in names])
     key = docs.select(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")).alias("h"), F.col("text").cast("binary").alias("text"))
     key = key.select("*", F.pmod("h", F.lit(ROUNDS)).alias("r"), F.pmod(F.floor(F.col("h") / ROUNDS), F.lit(groups)).alias("g"))
-    kind = f"h long, g long, ids binary"
 
     def encode(batches):
         s = Subwords(path)
@@ -325,7 +315,7 @@ def train(docs: DataFrame, v: Vocabulary, subwords: int, path: str) -> dict[str,
             def add():
                 nonlocal total, count
                 if held:
-                    q, n = learnt_group(p, v, (v.item[x] for x in held), STEP / (1 + r))
+                    q, n = learnt_group(p, v, [v.item[x] for x in held], STEP / (1 + r))
                     total += n * np.concatenate([q[k].ravel() for k in names])
                     count += n
                     held.clear()
@@ -350,8 +340,8 @@ def train(docs: DataFrame, v: Vocabulary, subwords: int, path: str) -> dict[str,
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([n for n, _ in held.values()], pa.int64()), pa.array([w.tobytes() for _, w in held.values()], pa.binary())], names=["i", "n", "w"])
 
-        texts = key.where(F.col("r") == r).select("h", "g", "text").mapInArrow(encode, kind)
-        part = texts.repartition(groups, "g").sortWithinPartitions("g", "h", "ids").select("g", "ids").mapInArrow(learn, "i int, n long, w binary")
+        texts = key.where(F.col("r") == r).select("h", "g", "text").mapInArrow(encode, "h long, g long, ids binary")
+        part = texts.repartition(tasks, "g").sortWithinPartitions("g", "h", "ids").select("g", "ids").mapInArrow(learn, "i int, n long, w binary")
         got = cut(part.repartition(PARTS, "i").mapInArrow(summed, "i int, n long, w binary"), "lm-weights")
         rows = sorted(got.collect(), key=lambda x: x.i)  # PARTS rows, as many bytes as the weights have
         forget(got)
@@ -394,8 +384,8 @@ def score(docs: DataFrame, held_out, path: str = TOKENIZER) -> DataFrame:
         for whole in batches:
             for lo in range(0, whole.num_rows, SLICE):
                 b = whole.slice(lo, SLICE)
-                cols, xs, ys, ws, owner, unseen = [[], [], [], []], [], [], [], [], []
-                for i, t in enumerate(b.column("text").to_pylist()):
+                cols, texts = [[], [], [], []], []
+                for t in b.column("text").to_pylist():
                     w = tokens(t)
                     logs = np.fromiter(map(common.get, w, repeat(math.nan)), np.float64, len(w))
                     rare = np.flatnonzero(np.isnan(logs))
@@ -404,18 +394,12 @@ def score(docs: DataFrame, held_out, path: str = TOKENIZER) -> DataFrame:
                     cols[1].append(known + (ends > 0))
                     cols[2].append(float(np.nansum(logs)) + end - (known + 1) * base)
                     cols[3].append([w[j] for j in rare])
-                    items = voc.item[s.ids(w)]
-                    x, y, m = windows(voc, items)
-                    xs.append(x)
-                    ys.append(y)
-                    ws.append(m)
-                    owner.append(np.full(len(x), i))
-                    unseen.append(int((items == voc.unseen).sum()) * voc.unseen_log)
-                x, y, m, owner = (np.concatenate(z) for z in (xs, ys, ws, owner))
-                out = np.array(unseen)
-                for i in range(0, len(x), 4 * BATCH):
-                    logs = target_logs(p, voc, x[i : i + 4 * BATCH], y[i : i + 4 * BATCH]).reshape(-1, STRIDE)
-                    out += np.bincount(owner[i : i + 4 * BATCH], (logs * m[i : i + 4 * BATCH]).sum(1, dtype=np.float64), len(out))
+                    texts.append(voc.item[s.ids(w)])
+                x, y, m, owner = windows(voc, texts)
+                out = np.array([(x == voc.unseen).sum() for x in texts]) * voc.unseen_log
+                for i in range(0, len(x), BATCH):
+                    logs = target_logs(p, voc, x[i : i + BATCH], y[i : i + BATCH]).reshape(-1, STRIDE)
+                    out += np.bincount(owner[i : i + BATCH], (logs * m[i : i + BATCH]).sum(1, dtype=np.float64), len(out))
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("__rid"), b.column("doc_id"), b.column("held_out"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], pa.array(out / math.log(10))],

@@ -444,7 +444,7 @@ def test_lm_model():
     v = vocabulary(r)
     assert v.item.max() == v.unseen and len(set(v.item)) == 301 and 0 <= v.end < v.unseen and v.bounds[-1] == v.unseen + 1
     p = {k: a.astype(np.float64) for k, a in lm.start(v).items()}
-    x, y, w = lm.windows(v, r.integers(0, v.unseen + 1, 100))
+    x, y, w, _ = lm.windows(v, [r.integers(0, v.unseen + 1, 100)])
     assert w.sum() == 101
     grad = lm.backward(p, v, x, y, w)
     rows = np.zeros_like(p["E"])
@@ -483,11 +483,17 @@ def test_parities_bound_differences():
 
 def test_lm_windows():
     v = vocabulary(np.random.default_rng(2))
-    for n in (0, 1, 23, 24, 25, 300):
-        seq = np.arange(n) % 50
-        x, y, w = lm.windows(v, seq)
-        assert list(y[w]) == [*seq, v.end]
-        assert [*x[:, lm.LEAD :][w]] == [v.bos, *seq]
+    sizes = (0, 1, 15, 16, 17, 23, 24, 25, 300, 0)
+    texts = [np.arange(n) % 50 for n in sizes]
+    x, y, w, owner = lm.windows(v, texts)
+    for i, seq in enumerate(texts):
+        own = owner == i
+        assert list(y[own][w[own]]) == [*seq, v.end]
+        assert [*x[own][:, lm.LEAD :][w[own]]] == [v.bos, *seq]
+        whole = np.concatenate([np.full(lm.LEAD + 1, v.bos), seq])
+        for k, row in enumerate(x[own]):  # each window goes on where its place in the text is
+            held = whole[k * lm.STRIDE : k * lm.STRIDE + lm.CONTEXT]
+            assert list(row[: len(held)]) == list(held)
 
 
 def test_lm_learns(spark):
