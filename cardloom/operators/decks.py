@@ -96,3 +96,9 @@ def cooccurrence(deck_cards: DataFrame) -> DataFrame:
     with_commander = commanders.join(others, "deck_id").select("deck_id", F.lit("commander_card").alias("kind"), "left_id", "right_id")
     pairs = others.select("deck_id", F.col("right_id").alias("left_id")).join(others, "deck_id").where("left_id < right_id").select("deck_id", F.lit("card_card").alias("kind"), "left_id", "right_id")
     return with_commander.union(pairs)
+
+
+def zone_totals(deck_cards: DataFrame) -> DataFrame:
+    """Rows of a card within a zone added up; a card's printings stay apart where they are known."""
+    key = ["deck_id", "zone", "oracle_id", *[c for c in ("printing_id",) if c in deck_cards.columns]]
+    return deck_cards.groupBy(*key).agg(F.sum("quantity").cast("long").alias("quantity"), F.count("*").alias("entries"))

@@ -103,3 +103,56 @@ def deduplication_report(exact: DataFrame, revisions: DataFrame, clusters: DataF
     b, c = revisions.agg(F.count("*").alias("revision_groups")), clusters.agg(F.count("*").alias("near_duplicate_clusters"))
     # three rows of one
     return a.crossJoin(b).crossJoin(c).select("*", F.lit("quantity_weighted_jaccard").alias("near_duplicate_algorithm"), F.lit(version).alias("near_duplicate_version"), F.lit(float(threshold)).alias("near_duplicate_threshold"))
+
+
+def dataset_audit(decks: DataFrame, sources: DataFrame, allowed: list[str], research_only: list[str]) -> DataFrame:
+    """One row over decks, as source_summary takes them, and sources(source_id, tournaments, event_observations, pods, complete_pods).
+
+    Missing values count as missing, never as negative evidence. Suitability looks at decks of allowed sources that aren't research only.
+    """
+    fit = F.col("source_id").isin(allowed) & ~F.col("source_id").isin(research_only or [""])
+    has = F.col("commanders") > 0
+    whole = F.col("complete") & has
+    shared = overlap(decks.where("canonical_deck_id is not null"))
+    of_mode = lambda m: F.count_if(whole & (F.coalesce("mode", F.lit("unknown")) == m)).alias(f"{m}_decks")
+    out = decks.agg(
+        F.count("*").alias("total_decks"), F.count_if("complete").alias("complete_decklists"), F.count_if(whole).alias("complete_commander_decks"), F.count_if(F.coalesce(F.col("legal_status") == "unknown", F.lit(False))).alias("legality_unknown"),
+        F.count_if(~F.col("resolved")).alias("unresolved_decks"), F.coalesce(F.sum("unresolved_cards"), F.lit(0)).alias("unresolved_cards"), F.count_if("usable_outcome").alias("usable_outcomes"), F.count_if("full_pod").alias("full_pods"),
+        of_mode("casual"), of_mode("competitive"), of_mode("unknown"), F.count_if(~has).alias("missing_commander"), F.count_if(F.col("observed_at").isNull()).alias("missing_observed_at"), F.count_if(F.col("mode").isNull()).alias("missing_mode"),
+        F.count_if(~F.col("complete")).alias("incomplete_decklist"), F.min("observed_at").alias("first_observed"), F.max("observed_at").alias("last_observed"),
+        F.count_if(fit & whole).alias("__whole"), F.count_if(fit & ~F.col("resolved")).alias("__open"), F.count_if(fit & F.col("usable_outcome")).alias("__outcomes"), F.count_if(fit & F.col("full_pod")).alias("__pods"),
+    )
+    out = out.crossJoin(shared.agg(F.count("*").alias("cross_source_decks"), F.coalesce(F.sum("occurrences"), F.lit(0)).alias("cross_source_records")))  # rows of one
+    out = out.crossJoin(sources.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tournaments", "event_observations", "pods", "complete_pods")]))
+    training = F.when(F.col("__whole") == 0, "not_suitable").when((F.col("unresolved_cards") > 0) | (F.col("__open") > 0), "conditional").otherwise("suitable")
+    performance = F.when((F.col("__outcomes") > 0) & (F.col("__pods") > 0), "suitable").when(F.col("__outcomes") > 0, "conditional").otherwise("not_suitable")
+    return out.withColumns({"deck_completion_training": training, "performance_modeling": performance}).drop("__whole", "__open", "__outcomes", "__pods")
+
+
+def commander_popularity(deck_cards: DataFrame) -> DataFrame:
+    """commander, card, decks: how many decks with that commander have the card."""
+    cards = deck_cards.select("deck_id", "zone", "oracle_id").distinct()
+    one = cards.where("zone = 'command'").select("deck_id", F.col("oracle_id").alias("commander"))
+    return one.join(cards.where("zone <> 'command'").select("deck_id", F.col("oracle_id").alias("card")).distinct(), "deck_id").groupBy("commander", "card").agg(F.count("*").alias("decks"))
+
+
+def recommendations(examples: DataFrame, by_commander: DataFrame, popular: DataFrame, k: int = 25) -> DataFrame:
+    """example_id, rank, card, score: for each of examples(example_id, commander) the k cards that most decks of its commander
+    have (ties: the card's order); a commander without decks gets the most popular cards of all.
+
+    The k best are taken by commander before examples meet them, so a commander that many examples share is ranked once.
+    """
+    rank = lambda df, *by: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("decks"), "card"))).where(F.col("rank") <= k)
+    own = rank(by_commander, "commander").select("commander", "rank", "card", F.col("decks").alias("score"))
+    top = popular.select(F.col("oracle_id").alias("card"), "decks").orderBy(F.desc("decks"), "card").limit(k)  # at most k rows
+    rest = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("decks"), "card"))).select("rank", "card", F.col("decks").alias("score"))
+    known = own.select("commander").distinct()
+    cold = examples.join(known, "commander", "left_anti").select("example_id").crossJoin(F.broadcast(rest))
+    return examples.join(own, "commander").select("example_id", "rank", "card", "score").union(cold)
+
+
+def coverage(recommended: DataFrame, catalog: DataFrame, prevalence: DataFrame) -> DataFrame:
+    """One row: unique recommended cards, their share of the catalog, and the mean number of decks of a recommendation."""
+    seen = recommended.agg(F.count_distinct("card").alias("unique_cards")).crossJoin(catalog.agg(F.count("*").alias("n")))  # rows of one
+    mean = recommended.join(prevalence.select(F.col("oracle_id").alias("card"), "decks"), "card", "left").agg(F.avg(F.coalesce("decks", F.lit(0))).alias("m"))
+    return seen.crossJoin(mean).select("unique_cards", F.round(F.col("unique_cards") / F.col("n"), 9).alias("catalog_coverage"), F.round("m", 6).alias("mean_prevalence"))

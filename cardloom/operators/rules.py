@@ -105,3 +105,18 @@ def first_claims(outcomes: DataFrame, key: list[str], order: list[str]) -> DataF
     """One row of each structure, the first by order."""
     w = Window.partitionBy(*key).orderBy(*order)
     return outcomes.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+
+
+def latest_evaluations(evaluations: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """Of several evaluations of one record the last by order; a max over structs, which is combined before rows are dealt."""
+    rest = [c for c in evaluations.columns if c not in (*key, *order)]
+    best = evaluations.groupBy(*key).agg(F.max(F.struct(*order, *rest)).alias("__e"))
+    return best.select(*key, *[F.col(f"__e.{c}").alias(c) for c in (*order, *rest)])
+
+
+def only_context(items: DataFrame, contexts: DataFrame, key: str, value: str) -> DataFrame:
+    """items with `value` where just one of contexts has the key; none or several leave a finding."""
+    found = contexts.groupBy(key).agg(F.count("*").alias("__n"), F.min(value).alias("__v"))
+    rows = items.join(found, key, "left")
+    code = F.when(F.col("__n").isNull(), "quality.pod_context_missing").when(F.col("__n") > 1, "quality.event_context_ambiguous")
+    return rows.withColumns({value: F.when(F.col("__n") == 1, F.col("__v")), "finding_code": code}).drop("__n", "__v")

@@ -71,3 +71,10 @@ def leakage(memberships: DataFrame, assignments: DataFrame) -> DataFrame:
     """group_id, splits of the groups that lie in more than one split."""
     found = memberships.join(assignments.select("record_id", "split"), "record_id").groupBy("group_id").agg(F.array_sort(F.collect_set("split")).alias("splits"))
     return found.where(F.size("splits") > 1)
+
+
+def leakage_status(memberships: DataFrame, events: DataFrame, assignments: DataFrame) -> DataFrame:
+    """One row: groups and events(record_id, event_id) that lie in more than one split, and PASS when there are none."""
+    groups = leakage(memberships, assignments).agg(F.count("*").alias("cross_split_groups"))
+    across = leakage(events.select("record_id", F.col("event_id").alias("group_id")), assignments).agg(F.count("*").alias("cross_split_events"))
+    return groups.crossJoin(across).withColumn("status", F.when(F.col("cross_split_groups") + F.col("cross_split_events") == 0, "PASS").otherwise("FAIL"))  # rows of one

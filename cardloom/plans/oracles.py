@@ -72,6 +72,14 @@ res AS (SELECT item_id, method, CASE candidates WHEN 0 THEN 'unresolved' WHEN 1
     CASE WHEN candidates = 1 THEN NULL WHEN candidates > 1 THEN 'resolution.ambiguous_name' WHEN method = 'alias' THEN 'resolution.alias_target_unresolved' ELSE 'resolution.unresolved_name' END AS finding_code FROM rn
   UNION ALL SELECT item_id, CASE WHEN x IS NOT NULL THEN 'source_identifier' WHEN y IS NOT NULL THEN 'exact_identifier' ELSE 'none' END, CASE WHEN coalesce(x, y) IS NULL THEN 'unresolved' WHEN x <> y THEN 'ambiguous' ELSE 'resolved' END, CASE WHEN x <> y THEN NULL ELSE coalesce(x, y)::VARCHAR END, CASE WHEN x <> y THEN NULL ELSE x::VARCHAR END, NULL,
     CASE WHEN coalesce(x, y) IS NULL THEN 0 WHEN x <> y THEN 2 ELSE 1 END, CASE WHEN coalesce(x, y) IS NULL THEN 'resolution.unresolved_name' WHEN x <> y THEN 'resolution.conflicting_identifiers' END FROM ri)"""
+REC = DC + ", " + PS + """,
+tr AS (SELECT dz.* FROM dz JOIN ps ON record_id = deck_id WHERE r = 1),
+cp AS (SELECT a.oracle_id AS commander, b.oracle_id AS card, count(*) AS decks FROM tr a JOIN tr b ON a.deck_id = b.deck_id AND a.zone = 'command' AND b.zone = 'mainboard' GROUP BY ALL),
+pop AS (SELECT oracle_id AS card, count(DISTINCT deck_id) AS decks FROM tr WHERE zone = 'mainboard' GROUP BY 1),
+exa AS (SELECT deck_id AS example_id, oracle_id AS commander FROM dz JOIN ps ON record_id = deck_id WHERE r > 1 AND zone = 'command'),
+own AS (SELECT commander, row_number() OVER (PARTITION BY commander ORDER BY decks DESC, card) AS rank, card, decks AS score FROM cp QUALIFY rank <= 5),
+alt AS (SELECT row_number() OVER (ORDER BY decks DESC, card) AS rank, card, decks AS score FROM pop QUALIFY rank <= 5),
+rec AS (SELECT example_id, rank, card, score FROM exa JOIN own USING (commander) UNION ALL SELECT example_id, rank, card, score FROM exa, alt WHERE commander NOT IN (SELECT commander FROM cp))"""
 PODS = """pm AS (SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS pod_id, event_id, user_id AS seat, CASE WHEN event_id % 97 <> 0 THEN event_id END AS deck, event_id % 50 AS placement, event_id % 9 = 0 AS opaque, event_id % 10 < 9 AND user_id IS NOT NULL AS named FROM events)"""
 
 SQL = {
@@ -158,4 +166,23 @@ f AS (SELECT c_custkey AS combo_id, coalesce(required, 0) AS required, coalesce(
   CASE WHEN c_custkey % 3 = 1 AND c_custkey % 4 < 2 THEN 'quality.combo_compatibility_conflict' END, CASE WHEN c_custkey % 3 = 2 AND c_custkey % 4 < 2 THEN 'quality.combo_compatibility_unresolved' END, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 4 >= 2 THEN 'quality.combo_compatibility_unscoped' END,
   CASE WHEN coalesce(required, 0) = 0 THEN 'quality.combo_required_cards_missing' END, CASE WHEN c_custkey % 7 = 0 THEN 'quality.combo_requirements_missing' END, CASE WHEN c_custkey % 5 = 0 THEN 'quality.combo_results_missing' END) AS findings FROM customer LEFT JOIN g ON k = c_custkey)
 SELECT *, CASE WHEN regexp_matches(findings, 'required_cards|requirements_m|results_m|card_invalid|commander_id') THEN 'QUARANTINED' ELSE 'CURATED' END AS status FROM f""",
+    "dataset_audit": f"""WITH {ME}, x AS (SELECT count(*) AS n FROM me WHERE canonical_deck_id IS NOT NULL GROUP BY canonical_deck_id HAVING count(DISTINCT source_id) > 1),
+s AS (SELECT count(DISTINCT o_orderdate::DATE) AS a, count(*) FILTER (o_totalprice > 2000) AS b, count(DISTINCT o_custkey) AS c, count(DISTINCT o_custkey) FILTER (o_orderstatus = 'F') AS d FROM orders GROUP BY o_orderpriority),
+m AS (SELECT *, source_id IN ('1-URGENT', '2-HIGH') AS fit FROM me)
+SELECT count(*) AS total_decks, count(*) FILTER (complete) AS complete_decklists, count(*) FILTER (complete) AS complete_commander_decks, count(*) FILTER (legal = 'unknown') AS legality_unknown, count(*) FILTER (NOT resolved) AS unresolved_decks, sum(un)::BIGINT AS unresolved_cards, count(*) FILTER (usable) AS usable_outcomes, count(*) FILTER (pod) AS full_pods,
+  count(*) FILTER (complete AND mode = 'casual') AS casual_decks, count(*) FILTER (complete AND mode = 'competitive') AS competitive_decks, count(*) FILTER (complete AND mode = 'unknown') AS unknown_decks, count(*) FILTER (NOT complete) AS missing_commander, count(*) FILTER (observed_at IS NULL) AS missing_observed_at, count(*) FILTER (mode IS NULL) AS missing_mode,
+  count(*) FILTER (NOT complete) AS incomplete_decklist, min(observed_at) AS first_observed, max(observed_at) AS last_observed, (SELECT count(*) FROM x) AS cross_source_decks, (SELECT coalesce(sum(n), 0)::BIGINT FROM x) AS cross_source_records,
+  (SELECT sum(a)::BIGINT FROM s) AS tournaments, (SELECT sum(b)::BIGINT FROM s) AS event_observations, (SELECT sum(c)::BIGINT FROM s) AS pods, (SELECT sum(d)::BIGINT FROM s) AS complete_pods,
+  CASE WHEN count(*) FILTER (fit AND complete) = 0 THEN 'not_suitable' WHEN sum(un) > 0 OR count(*) FILTER (fit AND NOT resolved) > 0 THEN 'conditional' ELSE 'suitable' END AS deck_completion_training,
+  CASE WHEN count(*) FILTER (fit AND usable) > 0 AND count(*) FILTER (fit AND pod) > 0 THEN 'suitable' WHEN count(*) FILTER (fit AND usable) > 0 THEN 'conditional' ELSE 'not_suitable' END AS performance_modeling FROM m""",
+    "recommendations": f"WITH {REC} SELECT * FROM rec",
+    "recommendation_coverage": f"WITH {REC} SELECT count(DISTINCT card) AS unique_cards, round(count(DISTINCT card) / (SELECT count(*) FROM part), 9) AS catalog_coverage, round(avg(coalesce(decks, 0)), 6) AS mean_prevalence FROM rec LEFT JOIN pop USING (card)",
+    "commander_popularity": f"WITH {CO} SELECT commander, card, count(*) AS decks FROM cc GROUP BY ALL",
+    "latest_evaluations": "SELECT l_orderkey AS record_id, l_partkey AS deck_id, l_shipdate AS evaluated_at, l_linenumber AS line, l_returnflag AS status FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_returnflag DESC) = 1",
+    "event_context": "WITH c AS (SELECT o_custkey AS k, count(*) AS n, min(o_orderkey) AS e FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) SELECT c_custkey AS item, CASE WHEN n = 1 THEN e END AS event_id, CASE WHEN n IS NULL THEN 'quality.pod_context_missing' WHEN n > 1 THEN 'quality.event_context_ambiguous' END AS finding_code FROM customer LEFT JOIN c ON k = c_custkey",
+    "leakage_status": f"""WITH RECURSIVE {CC}, g AS (SELECT group_id FROM mem JOIN promoted USING (record_id) GROUP BY 1 HAVING count(DISTINCT split) > 1), e AS (SELECT strftime(o_orderdate, '%Y-%m') AS m FROM orders JOIN promoted ON record_id = o_orderkey GROUP BY 1 HAVING count(DISTINCT split) > 1)
+SELECT (SELECT count(*) FROM g) AS cross_split_groups, (SELECT count(*) FROM e) AS cross_split_events, CASE WHEN (SELECT count(*) FROM g) + (SELECT count(*) FROM e) = 0 THEN 'PASS' ELSE 'FAIL' END AS status""",
+    "zone_totals": "SELECT l_orderkey AS deck_id, lower(l_returnflag) AS zone, l_partkey AS oracle_id, l_suppkey AS printing_id, sum(CAST(l_quantity AS INT))::BIGINT AS quantity, count(*) AS entries FROM lineitem GROUP BY ALL",
+    "complete_pod_entries": "WITH p AS (SELECT date_trunc('hour', ts) AS h FROM events GROUP BY 1 HAVING count(*) >= 2 AND count(*) = count(DISTINCT user_id) AND bool_and(event_type <> 'error')) SELECT event_id, strftime(h, '%Y-%m-%d %H') AS pod_id FROM events JOIN p ON date_trunc('hour', ts) = h",
+    "mask_stages": f"WITH {DC}, s(stage, share) AS (VALUES ('early', 0.75), ('middle', 0.5), ('late', 0.25)), m AS (SELECT stage, share, deck_id, oracle_id, row_number() OVER (PARTITION BY stage, deck_id ORDER BY sha256(deck_id || ':orders-' || stage || ':0:' || oracle_id), oracle_id) AS k, count(*) OVER (PARTITION BY stage, deck_id) AS n FROM dz, s WHERE zone = 'mainboard') SELECT deck_id, stage, count(*) AS hidden, min(oracle_id) AS first_hidden FROM m WHERE k <= ceil(n * share) GROUP BY ALL",
 }

@@ -348,6 +348,63 @@ def q_combos(spark, d):
     return events.combos(records, cards).select("combo_id", F.size("required").alias("required"), F.size("optional").alias("optional"), F.concat_ws(",", "findings").alias("findings"), "status")
 
 
+def q_audit(spark, d):
+    o = t(spark, d, "orders")
+    sources = o.groupBy(F.col("o_orderpriority").alias("source_id")).agg(F.count_distinct(F.to_date("o_orderdate")).alias("tournaments"), F.count_if(F.col("o_totalprice") > 2000).alias("event_observations"), F.count_distinct("o_custkey").alias("pods"), F.count_distinct(F.when(F.col("o_orderstatus") == "F", F.col("o_custkey"))).alias("complete_pods"))
+    return reports.dataset_audit(metrics(spark, d), sources, ["1-URGENT", "2-HIGH", "4-NOT SPECIFIED"], ["4-NOT SPECIFIED"])
+
+
+def train_cards(spark, d) -> DataFrame:
+    train = q_provisional(spark, d).where("split = 'train'").select(F.col("record_id").alias("deck_id"))
+    return deck_cards(spark, d).join(train, "deck_id", "left_semi")
+
+
+def recommended(spark, d) -> DataFrame:
+    """Decks that aren't in train ask by their commander; popularity is that of train."""
+    cards = train_cards(spark, d)
+    tests = q_provisional(spark, d).where("split <> 'train'").select(F.col("record_id").alias("deck_id"))
+    examples = deck_cards(spark, d).where("zone = 'command'").join(tests, "deck_id", "left_semi").select(F.col("deck_id").alias("example_id"), F.col("oracle_id").alias("commander"))
+    return reports.recommendations(examples, reports.commander_popularity(cards), reports.popularity(cards), 5)
+
+
+def q_coverage(spark, d):
+    return reports.coverage(recommended(spark, d), t(spark, d, "part"), reports.popularity(train_cards(spark, d)))
+
+
+def q_evaluations(spark, d):
+    """A line evaluates its order's part; the last shipped wins, then the last line."""
+    e = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("record_id"), F.col("l_partkey").alias("deck_id"), F.col("l_shipdate").alias("evaluated_at"), F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("status"))
+    return rules.latest_evaluations(e, ["record_id", "deck_id"], ["evaluated_at", "line", "status"])
+
+
+def q_context(spark, d):
+    c = t(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("item"), F.col("o_orderkey").alias("event_id"))
+    return rules.only_context(t(spark, d, "customer").select(F.col("c_custkey").alias("item")), c, "item", "event_id")
+
+
+def q_leakage_status(spark, d):
+    groups = memberships(spark, d)
+    events_of = t(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"), F.date_format("o_orderdate", "yyyy-MM").alias("event_id"))
+    return splits.leakage_status(groups, events_of, q_promoted(spark, d, groups))
+
+
+def q_zones(spark, d):
+    l = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("deck_id"), F.lower("l_returnflag").alias("zone"), F.col("l_partkey").alias("oracle_id"), F.col("l_suppkey").alias("printing_id"), F.col("l_quantity").cast("int").alias("quantity"))
+    return decks.zone_totals(l)
+
+
+def q_pod_decks(spark, d):
+    """Events of complete pods only."""
+    e = entries(spark, d)
+    return e.join(rules.complete_pods(e), "pod_id", "left_semi").select("event_id", F.date_format("pod_id", "yyyy-MM-dd HH").alias("pod_id"))
+
+
+def q_mask_stages(spark, d):
+    """Early, middle and late stages of a deck: three, two and one quarters of its other cards are hidden."""
+    stage = lambda name, share: datasets.masks(deck_cards(spark, d), f"orders-{name}", 0, share).where("masked").groupBy("deck_id").agg(F.count("*").alias("hidden"), F.min("oracle_id").alias("first_hidden")).withColumn("stage", F.lit(name))
+    return stage("early", 0.75).union(stage("middle", 0.5)).union(stage("late", 0.25))
+
+
 QUERIES = {
     "deck_fingerprint": lambda s, d: decks.fingerprint(deck_cards(s, d)), "exact_duplicates": q_exact, "revision_groups": q_revision,
     "near_duplicate_pairs": q_near_pairs, "near_duplicate_clusters": q_near_clusters,
@@ -363,4 +420,6 @@ QUERIES = {
     "card_catalog": q_catalog, "card_conflicts": q_conflicts, "completion_rows": q_completion_rows, "dataset_reconciliation": q_reconciliation, "completion_masks": q_masks, "dataset_filter": q_filter,
     "benchmark_groups": q_benchmark_groups, "card_resolution": q_card_resolution, "resolution_report": q_resolution_report, "deduplication_report": q_dedup_report, "finding_counts": q_finding_counts,
     "pod_normalization": q_pods, "participant_references": q_participants, "event_observations": q_observations, "combo_normalization": q_combos,
+    "dataset_audit": q_audit, "recommendations": recommended, "recommendation_coverage": q_coverage, "latest_evaluations": q_evaluations, "event_context": q_context, "leakage_status": q_leakage_status, "zone_totals": q_zones, "complete_pod_entries": q_pod_decks, "mask_stages": q_mask_stages,
+    "commander_popularity": lambda s, d: reports.commander_popularity(deck_cards(s, d)),
 }
