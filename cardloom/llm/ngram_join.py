@@ -17,7 +17,7 @@ FREQUENT, CHUNK, LEAST_IN_CHUNK = 50_000, 1 << 20, 4
 #: A shingle of up to FEW texts has all its pairs looked at; the texts of others meet pivots first, in so many rounds.
 FEW, PIVOT_ROUNDS = 6, 3
 #: Bins of parities for each shingle, and the most in all.
-BINS, MOST_BINS = 4, 1 << 17
+BINS, MOST_BINS = 8, 1 << 18
 #: Bins of the sketches that pairs are filtered by first, in words of 64.
 SKETCH = 1024
 A, B, ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(31)
@@ -281,7 +281,8 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
     first = cut(plausible(first, sizes, share), "ngram-pairs")
     alive = cut(first.select("a").union(first.select("b")).union(many.select("node")).distinct().toDF("node"), "ngram-alive")
     wanted = cut(reps.join(alive, "node", "left_semi"), "ngram-wanted")
-    texts = cut(packed(docs).join(wanted, ["node", "__rid"], "left_semi").drop("__rid"), "ngram-texts")
+    # merged at every size, here and below: the plan that holds for a large corpus also runs on a small one
+    texts = cut(packed(docs).join(wanted.hint("merge"), ["node", "__rid"], "left_semi").drop("__rid"), "ngram-texts")
     forget(reps, alive, wanted)
     seen = None
 
@@ -309,10 +310,10 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
     last = shared
     for r in range(1, PIVOT_ROUNDS + 1):
         # the rows of shingles whose texts lie in several components; a shingle within one is done with for good
-        labelled = cut(rest.join(labels, "node"), "ngram-open")
+        labelled = cut(rest.join(labels.hint("merge"), "node"), "ngram-open")
         forget(last)
         mixed = cut(labelled.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("s"), "ngram-mixed")
-        last = cut(labelled.join(mixed, "s", "left_semi"), "ngram-rest")
+        last = cut(labelled.join(mixed.hint("merge"), "s", "left_semi"), "ngram-rest")
         forget(labelled, mixed)
         rest = last.drop("c")
         if r < PIVOT_ROUNDS:
@@ -321,7 +322,7 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
             forget(pairs)
             continue
         before = F.lag("s").over(Window.partitionBy("node").orderBy("pos", "s"))  # a text has no more rows than its prefix has shingles
-        sketched = last.withColumn("prev", before).join(sizes.select("node", "sketch"), "node")
+        sketched = last.withColumn("prev", before).join(sizes.select("node", "sketch").hint("merge"), "node")
         pairs = cut(plausible(meeting(sketched), sizes, share, sketched=True), "ngram-pairs")
         for best in (True, False):
             labels, seen = ask(labels, pairs, seen, best)
@@ -342,7 +343,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = cut(components(docs), "ngram-components")
     first = found.where("c is not null").groupBy("c").agg(F.min(F.struct("doc_id", "__rid")).alias("r")).select("r.__rid")
     kept = cut(first.union(found.where("c is null").select("__rid")), "ngram-kept")
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(kept, "__rid", "left_semi").drop("__rid")
+    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(kept.hint("merge"), "__rid", "left_semi").drop("__rid")
 
 
 OP10_SQL = f"""
