@@ -17,7 +17,9 @@ FREQUENT, CHUNK, LEAST_IN_CHUNK = 50_000, 1 << 20, 4
 #: A shingle of up to FEW texts has all its pairs looked at; the texts of others meet pivots first, in so many rounds.
 FEW, PIVOT_ROUNDS = 6, 3
 #: Bins of parities for each shingle, and the most in all.
-BINS, MOST_BINS = 8, 1 << 18
+BINS, MOST_BINS = 4, 1 << 17
+#: Texts of either side that one block of pairs is verified with.
+BLOCK = 64, 256
 #: Bins of the sketches that pairs are filtered by first, in words of 64.
 SKETCH = 1024
 A, B, ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(31)
@@ -177,11 +179,10 @@ def alike(x: str, y: str, n: Column, m: Column, share: int) -> Column:
     return differ <= n + m - 2 * required(n, m, share)
 
 
-def plausible(pairs: DataFrame, sizes: DataFrame, share: int, sketched: bool = False) -> DataFrame:
-    """Suffix filter: of pairs (a, b, k) those whose parities allow sets that differ in as few shingles as a link needs; short sketches first (unless the pairs were made by them), so that few pairs carry long ones."""
+def plausible(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
+    """Suffix filter: of pairs (a, b, k) those whose parities allow sets that differ in as few shingles as a link needs; short sketches first, so that few pairs carry long ones."""
     side = lambda x, own: sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col(own).alias(f"r{x}"))
-    if not sketched:
-        pairs = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b").where(alike("ra", "rb", F.col("na"), F.col("nb"), share)).select("a", "b", "k")
+    pairs = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b").where(alike("ra", "rb", F.col("na"), F.col("nb"), share)).select("a", "b", "k")
 
     def run(batches):
         for batch in batches:
@@ -194,6 +195,44 @@ def plausible(pairs: DataFrame, sizes: DataFrame, share: int, sketched: bool = F
     return pairs.join(side("a", "bits"), "a").join(side("b", "bits"), "b").select("a", "b", "k", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long, k long")
 
 
+def blocks_of(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) as x, y and their block h, i, j. In a group's pairs one side, x, is that of the fewer pairs a text (then the lesser hash); texts of
+    that side whose least partner, h, is the same meet in blocks of about BLOCK texts of x and y, dealt by hash."""
+    many = pairs.select(F.col("a").alias("t")).union(pairs.select("b")).groupBy("t").agg(F.count("*").alias("d"))
+    of = lambda t: many.select(F.col("t").alias(t), F.col("d").alias(f"d{t}"))
+    first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
+    sided = cut(pairs.join(of("a"), "a").join(of("b"), "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("x"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("y")), "ngram-sided")
+    hubs = sided.join(sided.groupBy("x").agg(F.min("y").alias("h")), "x")
+    counts = hubs.groupBy("h").agg(F.approx_count_distinct("x").alias("nx"), F.approx_count_distinct("y").alias("ny"))
+    deal = lambda t, n, size: F.pmod(F.xxhash64(t), F.ceil(F.col(n) / size))
+    return hubs.join(counts, "h").select("x", "y", "h", deal("x", "nx", BLOCK[0]).alias("i"), deal("y", "ny", BLOCK[1]).alias("j"))
+
+
+def verified_in_blocks(pairs: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
+    """As verified(), for groups with many pairs a text: a text goes once to each block that has pairs of it, and not to each pair.
+
+    A block holds about the texts that BLOCK says, however large its group is.
+    """
+    rows = cut(blocks_of(pairs), "ngram-blocks")
+    asked = rows.select("h", "i", "j", "x").union(rows.select("h", "i", "j", "y")).distinct().toDF("h2", "i2", "j2", "node")
+    held = asked.join(texts, "node")
+
+    def run(pairs, held):
+        s, d = Shingler(k), zstandard.ZstdDecompressor()
+        sets = {n: s.shingles(d.decompress(z)) for n, z in zip(held.column("node").to_pylist(), held.column("z").to_pylist(), strict=True)}
+        bits = {n: parities(x) for n, x in sets.items()}
+        a, b = [], []
+        for n, m in zip(pairs.column("x").to_pylist(), pairs.column("y").to_pylist(), strict=True):
+            x, y = sets[n], sets[m]
+            need = -(-share * (len(x) + len(y)) // (100 + share))
+            if min(len(x), len(y)) >= need and unlike(bits[n], bits[m]) <= len(x) + len(y) - 2 * need and len(np.intersect1d(x, y, assume_unique=True)) >= need:
+                a.append(min(n, m))
+                b.append(max(n, m))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("h", "i", "j").cogroup(held.groupBy("h2", "i2", "j2")).applyInArrow(run, "a long, b long")
+
+
 def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     """labels(node, c) after links(a, b): components hook to their least neighbour, pointers jump, and the rest is contracted, until no link joins two."""
     on = lambda side: labels.select(F.col("node").alias(side), F.col("c").alias(f"c{side}"))
@@ -229,7 +268,8 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
     A-Z lower-cased). Equal texts (by 128 bits of hashes) are one node and are never paired. Shingles are ordered rare first; two linked texts
     share one within their prefixes. A shingle of up to FEW texts has all its pairs looked at. Of a more common one's
     texts one is the pivot; the others meet it, in rounds with other pivots, and a pair already joined by links isn't
-    looked at again. The last round takes all pairs of a shingle that are still in two components and whose sketches allow a link. All pairs pass
+    looked at again. The last round takes all pairs of a shingle that are still in two components and whose sketches allow a link,
+    and fetches texts by blocks of them. All pairs pass
     the length, position and suffix filters first and are verified once: no link between components is lost. No cap:
     a shingle's texts are split over tasks by the join. Null and empty texts have no shingles and link with
     nothing; null doc_ids are ignored as component ids unless there is no other; repeated rows share a component.
@@ -323,9 +363,11 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
             continue
         before = F.lag("s").over(Window.partitionBy("node").orderBy("pos", "s"))  # a text has no more rows than its prefix has shingles
         sketched = last.withColumn("prev", before).join(sizes.select("node", "sketch").hint("merge"), "node")
-        pairs = cut(plausible(meeting(sketched), sizes, share, sketched=True), "ngram-pairs")
-        for best in (True, False):
-            labels, seen = ask(labels, pairs, seen, best)
+        pairs = cut(meeting(sketched).select("a", "b").join(seen, ["a", "b"], "left_anti") if seen is not None else meeting(sketched).select("a", "b"), "ngram-pairs")
+        if not pairs.isEmpty():
+            links = cut(verified_in_blocks(pairs, texts, k, share), "ngram-links")
+            labels = merge(labels, links)
+            forget(links)
         forget(pairs)
     own = cut(members.join(labels, "node", "left").withColumn("c", F.when(F.col("n") > 0, F.coalesce("c", "node"))), "ngram-members")
     least = cut(own.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id")), "ngram-least")
