@@ -111,6 +111,31 @@ def test_ngram_join_pivots(spark):
     assert got == {i: find(i) for i in range(60)}
 
 
+def test_ngram_join_blocks(spark, monkeypatch):
+    """Blocks of pairs give the links that a check of each pair gives, for groups of many sizes and blocks of few texts; each pair lies in one block."""
+    r = random.Random(9)
+    data, groups = [], []
+    for g in range(4):
+        base = [f"g{g}b{i}" for i in range(60)]
+        groups.append(range(len(data), len(data) + (3, 9, 20, 40)[g]))
+        for i in groups[-1]:
+            w = list(base)
+            for _ in range(r.randrange(0, 5)):
+                w[r.randrange(60)] = f"e{r.randrange(10**6)}"
+            data.append((i, " ".join(w)))
+    pairs = [(a, b) for g in groups for a in g for b in g if a < b and r.random() < 0.8]
+    texts = cut(ngram_join.packed(spark.createDataFrame([(i, i, t) for i, t in data], "node long, __rid long, text string")).drop("__rid"), "texts")
+    asked = cut(spark.createDataFrame(pairs, "a long, b long"), "pairs")
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(56)} for _, t in data]
+    want = sorted((a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]))
+    assert 0 < len(want) < len(pairs)
+    assert sorted(map(tuple, ngram_join.verified(asked, texts, 5, 75).collect())) == want
+    monkeypatch.setattr(ngram_join, "BLOCK", (4, 8))
+    assert sorted(map(tuple, ngram_join.verified_in_blocks(asked, texts, 5, 75).collect())) == want
+    rows = ngram_join.blocks_of(asked).collect()
+    assert sorted((min(x.x, x.y), max(x.x, x.y)) for x in rows) == sorted(pairs) and len({(x.h, x.i, x.j) for x in rows}) > 8
+
+
 def test_decontamination(spark, docs, rows, none):
     bench = [(1, rows[3][1]), (2, rows[60][1]), (2, "One Two"), (3, None), (4, ""), (None, "zz qq")]
     b = spark.createDataFrame(bench, "item_id long, text string")
