@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import math
 from collections import Counter
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -61,6 +62,12 @@ class Subwords(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, words)), self.kind)
 
 
+@lru_cache(maxsize=1)
+def subwords(path: str) -> Subwords:
+    """One table for all tasks of a Python worker."""
+    return Subwords(path)
+
+
 class Vocabulary:
     """The items that the model knows: each subword id that the training texts hold and the text's end, by count, then one
     for all other ids (no text tells them apart, so each has an equal part of that item's probability). Classes are runs of items."""
@@ -249,7 +256,7 @@ def count_subwords(words: DataFrame, path: str) -> np.ndarray:
     """Counts of all subword ids, by the distinct words; as many rows as the vocabulary has come to the driver."""
 
     def run(batches):
-        s = Subwords(path)
+        s = subwords(path)
         total = np.zeros(s.size, np.int64)
         for b in batches:
             for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True):
@@ -258,7 +265,7 @@ def count_subwords(words: DataFrame, path: str) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "c"])
 
     got = words.mapInArrow(run, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).collect()
-    out = np.zeros(Subwords(path).size, np.int64)
+    out = np.zeros(subwords(path).size, np.int64)
     for r in got:
         out[r.id] = r.c
     return out
@@ -295,7 +302,7 @@ def train(docs: DataFrame, v: Vocabulary, subwords: int, path: str) -> dict[str,
     key = key.select("*", F.pmod("h", F.lit(ROUNDS)).alias("r"), F.pmod(F.floor(F.col("h") / ROUNDS), F.lit(groups)).alias("g"))
 
     def encode(batches):
-        s = Subwords(path)
+        s = subwords(path)
         for b in batches:
             ids = [s.ids(tokens(t)).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("h"), b.column("g"), pa.array(ids, pa.binary())], names=["h", "g", "ids"])
@@ -380,7 +387,7 @@ def score(docs: DataFrame, held_out, path: str = TOKENIZER) -> DataFrame:
     end = math.log10(ends + 0.5)
 
     def run(batches):
-        s, (common, voc, p) = Subwords(path), shared.value
+        s, (common, voc, p) = subwords(path), shared.value
         for whole in batches:
             for lo in range(0, whole.num_rows, SLICE):
                 b = whole.slice(lo, SLICE)
