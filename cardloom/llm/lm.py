@@ -63,7 +63,7 @@ class Subwords(dict):
 
 
 @lru_cache(maxsize=1)
-def subwords(path: str) -> Subwords:
+def subwords_of(path: str) -> Subwords:
     """One table for all tasks of a Python worker."""
     return Subwords(path)
 
@@ -256,7 +256,7 @@ def count_subwords(words: DataFrame, path: str) -> np.ndarray:
     """Counts of all subword ids, by the distinct words; as many rows as the vocabulary has come to the driver."""
 
     def run(batches):
-        s = subwords(path)
+        s = subwords_of(path)
         total = np.zeros(s.size, np.int64)
         for b in batches:
             for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True):
@@ -265,7 +265,7 @@ def count_subwords(words: DataFrame, path: str) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "c"])
 
     got = words.mapInArrow(run, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).collect()
-    out = np.zeros(subwords(path).size, np.int64)
+    out = np.zeros(subwords_of(path).size, np.int64)
     for r in got:
         out[r.id] = r.c
     return out
@@ -285,7 +285,7 @@ def learnt_group(p, v: Vocabulary, texts: list[np.ndarray], step: float) -> tupl
     return adam.p, sum(len(x) + 1 for x in texts)
 
 
-def train(docs: DataFrame, v: Vocabulary, subwords: int, path: str) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, v: Vocabulary, targets: int, path: str) -> dict[str, np.ndarray]:
     """Local training in ROUNDS rounds: a row's hash gives its round and group; each group starts from the last round's
     weights, goes once over its windows in the order of hashes and gives its weights, which are averaged by targets.
 
@@ -293,7 +293,7 @@ def train(docs: DataFrame, v: Vocabulary, subwords: int, path: str) -> dict[str,
     weights don't depend on partitions. A group holds about GROUP subwords; their number grows with the corpus.
     """
     spark = docs.sparkSession
-    groups = max(1, -(-subwords // (ROUNDS * GROUP)))
+    groups = max(1, -(-targets // (ROUNDS * GROUP)))
     tasks = min(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))  # a task adds up its groups' weights before they are dealt
     p = start(v)
     names, shapes = list(p), {k: a.shape for k, a in p.items()}
@@ -302,7 +302,7 @@ def train(docs: DataFrame, v: Vocabulary, subwords: int, path: str) -> dict[str,
     key = key.select("*", F.pmod("h", F.lit(ROUNDS)).alias("r"), F.pmod(F.floor(F.col("h") / ROUNDS), F.lit(groups)).alias("g"))
 
     def encode(batches):
-        s = subwords(path)
+        s = subwords_of(path)
         for b in batches:
             ids = [s.ids(tokens(t)).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("h"), b.column("g"), pa.array(ids, pa.binary())], names=["h", "g", "ids"])
@@ -387,7 +387,7 @@ def score(docs: DataFrame, held_out, path: str = TOKENIZER) -> DataFrame:
     end = math.log10(ends + 0.5)
 
     def run(batches):
-        s, (common, voc, p) = subwords(path), shared.value
+        s, (common, voc, p) = subwords_of(path), shared.value
         for whole in batches:
             for lo in range(0, whole.num_rows, SLICE):
                 b = whole.slice(lo, SLICE)
