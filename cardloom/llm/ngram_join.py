@@ -20,7 +20,8 @@ FEW, PIVOT_ROUNDS = 6, 3
 BINS, MOST_BINS = 4, 1 << 17
 #: Texts of either side that one block of pairs is verified with.
 BLOCK = 64, 256
-#: Bins of the sketches that pairs are filtered by first, in words of 64.
+#: Bins of the sketches that pairs are filtered by first, in words of 64. Sets of more shingles also have wide ones, of as many
+#: bins as shingles or more: texts that share a passage alone fill half of the bins of a short one, fewer than a link of long sets allows.
 SKETCH = 1024
 A, B, ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(31)
 
@@ -71,6 +72,14 @@ def sketch(x: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(x & (SKETCH - 1), minlength=SKETCH) & 1).view(np.int64)
 
 
+def wide_sketch(x: np.ndarray) -> np.ndarray:
+    """The same in a power of two of bins, one for each hash or more; of SKETCH hashes or fewer none."""
+    if len(x) <= SKETCH:
+        return np.empty(0, np.int64)
+    bins = min(1 << (len(x) - 1).bit_length(), MOST_BINS)
+    return np.packbits(np.bincount(x & (bins - 1), minlength=bins) & 1).view(np.int64)
+
+
 def unlike(a: bytes, b: bytes) -> int:
     """In how many bins parities differ: at most as many shingles are in one of both sets alone. The longer is folded to the other's bins."""
     while len(a) != len(b):
@@ -112,14 +121,14 @@ def frequent(docs: DataFrame, k: int) -> dict[int, int]:
 
 
 def prefixes(docs: DataFrame, order: dict[int, int], k: int, share: int) -> DataFrame:
-    """For each row: __rid, doc_id, node (its text's hash), n (set size), prefix (its first shingles, rare first), light (how many of those aren't frequent), bits and sketch (the parities of its shingles)."""
+    """For each row: __rid, doc_id, node (its text's hash), n (set size), prefix (its first shingles, rare first), light (how many of those aren't frequent), bits, sketch and wide (the parities of its shingles)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((np.array(sorted(order), np.int64), np.array([order[h] for h in sorted(order)], np.int64)))
 
     def run(batches):
         s, (hs, cs) = Shingler(k), shared.value
         for b in batches:
-            n, light, prefix, bits, words = [], [], [], [], []
+            n, light, prefix, bits, words, wide = [], [], [], [], [], []
             for t in b.column("text").to_pylist():
                 x = s.shingles(t)
                 p = len(x) + 1 - -(-share * len(x) // 100) if len(x) else 0
@@ -133,12 +142,13 @@ def prefixes(docs: DataFrame, order: dict[int, int], k: int, share: int) -> Data
                 n.append(len(x))
                 bits.append(parities(x) if len(x) else b"")
                 words.append(sketch(x))
+                wide.append(wide_sketch(x))
                 light.append(ll)
                 prefix.append(first)
-            yield pa.RecordBatch.from_arrays([b.column("__rid"), b.column("doc_id"), b.column("node"), pa.array(n, pa.int64()), pa.array(light, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary()), pa.array(words, pa.list_(pa.int64()))], names=["__rid", "doc_id", "node", "n", "light", "prefix", "bits", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column("__rid"), b.column("doc_id"), b.column("node"), pa.array(n, pa.int64()), pa.array(light, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary()), pa.array(words, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64()))], names=["__rid", "doc_id", "node", "n", "light", "prefix", "bits", "sketch", "wide"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("__rid", "doc_id", "node", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"__rid long, doc_id {kind}, node long, n long, light int, prefix array<long>, bits binary, sketch array<long>")
+    return docs.select("__rid", "doc_id", "node", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"__rid long, doc_id {kind}, node long, n long, light int, prefix array<long>, bits binary, sketch array<long>, wide array<long>")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -179,6 +189,17 @@ def alike(x: str, y: str, n: Column, m: Column, share: int) -> Column:
     return differ <= n + m - 2 * required(n, m, share)
 
 
+def alike_wide(x: str, y: str, n: Column, m: Column, share: int) -> Column:
+    """The same on wide sketches, where both sets have one; the longer is folded to the other's bins (sets of such sizes that link differ by a factor of two at most)."""
+    x, y = F.col(x), F.col(y)
+    xor = lambda p, q: p.bitwiseXOR(q)
+    half = lambda z: (F.size(z) / 2).cast("int")
+    folded = lambda z: F.zip_with(F.slice(z, 1, half(z)), F.slice(z, half(z) + 1, half(z)), xor)
+    a, b = F.when(F.size(x) > F.size(y), folded(x)).otherwise(x), F.when(F.size(y) > F.size(x), folded(y)).otherwise(y)
+    differ = F.aggregate(F.zip_with(a, b, xor), F.lit(0), lambda s, z: s + F.bit_count(z))
+    return (F.size(x) == 0) | (F.size(y) == 0) | (differ <= n + m - 2 * required(n, m, share))
+
+
 def plausible(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
     """Suffix filter: of pairs (a, b, k) those whose parities allow sets that differ in as few shingles as a link needs; short sketches first, so that few pairs carry long ones."""
     side = lambda x, own: sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col(own).alias(f"r{x}"))
@@ -288,7 +309,7 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
     forget(met, common, held_by)
     nodes = cut(shared.select("node").distinct(), "ngram-nodes")
     reps = cut(rows.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "__rid")).alias("r")).join(nodes, "node", "left_semi").select("node", "r.__rid"), "ngram-reps")
-    sizes = cut(rows.select("node", "__rid", "n", "bits", "sketch").join(reps, ["node", "__rid"], "left_semi").drop("__rid"), "ngram-sizes")
+    sizes = cut(rows.select("node", "__rid", "n", "bits", "sketch", "wide").join(reps, ["node", "__rid"], "left_semi").drop("__rid"), "ngram-sizes")
     members = cut(rows.select("__rid", "doc_id", "node", "n"), "ngram-rows")
     forget(rows)
     labels = nodes.withColumn("c", F.col("node"))
@@ -302,11 +323,11 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
         """Pairs a < b of texts that share a shingle, with how many, each once. Rows with c, sketch and prev (the text's shingle before this one) pair over two components
         only, where the sketches allow a link, and not at a shingle that follows another that both share, as near copies share
         runs of them: the first of the run has the pair. All are conditions of the join, so that a group's hopeless pairs are never rows."""
-        kept = [x for x in ("node", "n", "pos", "c", "sketch", "prev") if x in rows.columns]
+        kept = [x for x in ("node", "n", "pos", "c", "sketch", "wide", "prev") if x in rows.columns]
         one, two = (rows.select("s", *[F.col(x).alias(f"{x}{i}") for x in kept]) for i in (1, 2))
         both = one.join(two, "s").where((F.col("node1") < F.col("node2")) & near(F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2")))
         if "c" in kept:
-            both = both.where((F.col("c1") != F.col("c2")) & F.coalesce(F.col("prev1") != F.col("prev2"), F.lit(True)) & alike("sketch1", "sketch2", F.col("n1"), F.col("n2"), share))
+            both = both.where((F.col("c1") != F.col("c2")) & F.coalesce(F.col("prev1") != F.col("prev2"), F.lit(True)) & alike("sketch1", "sketch2", F.col("n1"), F.col("n2"), share) & alike_wide("wide1", "wide2", F.col("n1"), F.col("n2"), share))
         return both.groupBy(F.col("node1").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("k"))
 
     def with_pivots(open_, r):
@@ -362,7 +383,7 @@ def components(docs: DataFrame, k: int = WORDS, share: int = SHARE) -> DataFrame
             forget(pairs)
             continue
         before = F.lag("s").over(Window.partitionBy("node").orderBy("pos", "s"))  # a text has no more rows than its prefix has shingles
-        sketched = last.withColumn("prev", before).join(sizes.select("node", "sketch").hint("merge"), "node")
+        sketched = last.withColumn("prev", before).join(sizes.select("node", "sketch", "wide").hint("merge"), "node")
         pairs = cut(meeting(sketched).select("a", "b").join(seen, ["a", "b"], "left_anti") if seen is not None else meeting(sketched).select("a", "b"), "ngram-pairs")
         if not pairs.isEmpty():
             links = cut(verified_in_blocks(pairs, texts, k, share), "ngram-links")
