@@ -111,6 +111,43 @@ def test_ngram_join_pivots(spark):
     assert got == {i: find(i) for i in range(60)}
 
 
+def test_ngram_join_long(spark):
+    """Long texts that share a passage, some near copies of each other with sizes on both sides of a power of two: the same groups as by comparing all."""
+    r = random.Random(12)
+    passage = [f"p{i}" for i in range(60)]
+    data = []
+    for g in range(12):
+        own = [f"t{g}w{i}" for i in range(r.choice([1000, 1500, 2080, 2300]))]
+        for c in range(3):
+            w = own[: len(own) - c * r.randrange(len(own) // 8)] + passage
+            for _ in range(r.randrange(25)):
+                w[r.randrange(len(w))] = f"e{r.randrange(10**6)}"
+            data.append((len(data), " ".join(w)))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t in data]
+    root = list(range(len(data)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(data)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = {x.doc_id: x.component_id for x in ngram_join.components(cut(spark.createDataFrame(data, "doc_id long, text string").repartition(3), "long")).collect()}
+    assert got == {i: find(i) for i in range(len(data))} and len(set(got.values())) > 12 > len(data) // 4
+    pairs = [(a, b) for a in range(len(data)) for b in range(a)]  # the filter loses no link and drops texts that only share the passage
+    s = ngram_join.Shingler()
+    hashes = [s.shingles(t.encode()) for _, t in data]
+    rows = [(a, b, len(hashes[a]), len(hashes[b]), ngram_join.wide_sketch(hashes[a]).tolist(), ngram_join.wide_sketch(hashes[b]).tolist()) for a, b in pairs if 4 * min(len(hashes[a]), len(hashes[b])) >= 3 * max(len(hashes[a]), len(hashes[b]))]
+    df = spark.createDataFrame(rows, "a long, b long, n long, m long, x array<long>, y array<long>")
+    kept = {(x.a, x.b) for x in df.where(ngram_join.alike_wide("x", "y", F.col("n"), F.col("m"), 75)).collect()}
+    linked = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert linked <= kept and len(kept) < 0.2 * len(rows)
+
+
 def test_ngram_join_blocks(spark, monkeypatch):
     """Blocks of pairs give the links that a check of each pair gives, for groups of many sizes and blocks of few texts; each pair lies in one block."""
     r = random.Random(9)
