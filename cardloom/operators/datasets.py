@@ -42,7 +42,7 @@ def completion_rows(dataset_id: str, assignments: DataFrame, memberships: DataFr
     """curated_id, record_id, split, group_ids (sorted)."""
     groups = memberships.groupBy("record_id").agg(F.array_sort(F.collect_set("group_id")).alias("group_ids"))
     rows = assignments.join(groups, "record_id", "left")
-    empty = F.array().cast("array<string>")
+    empty = F.array().cast(groups.schema["group_ids"].dataType)
     return rows.select(F.concat_ws(":", F.lit(dataset_id), F.col("record_id").cast("string")).alias("curated_id"), "record_id", "split", F.coalesce("group_ids", empty).alias("group_ids"))
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..functions.storage import written
+from ..functions.storage import forget, written
 from ..operators import catalog, datasets, decks, events, reports, resolution, rules, splits
 
 TRAIN_UNTIL, VALIDATION_UNTIL = "1999-01-01", "2000-07-01"
@@ -20,10 +20,11 @@ def t(spark, d, name) -> DataFrame:
 
 
 def deck_cards(spark, d) -> DataFrame:
-    """Lines summed by (order, part); the least part of an order is its command zone."""
-    cards = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("deck_id"), F.col("l_partkey").alias("oracle_id")).agg(F.sum(F.col("l_quantity").cast("int")).alias("quantity"))
-    first = cards.groupBy("deck_id").agg(F.min("oracle_id").alias("first"))
-    return cards.join(first, "deck_id").select("deck_id", F.when(F.col("oracle_id") == F.col("first"), "command").otherwise("mainboard").alias("zone"), "oracle_id", "quantity")
+    """Lines summed by (order, part); the least part of an order is its command zone. Lines are dealt by order once, for whatever is asked of whole decks."""
+    lines = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("deck_id"), F.col("l_partkey").alias("oracle_id"), F.col("l_quantity").cast("int").alias("quantity"))
+    cards = lines.repartition("deck_id").groupBy("deck_id", "oracle_id").agg(F.sum("quantity").alias("quantity"))
+    first = F.min("oracle_id").over(Window.partitionBy("deck_id"))
+    return cards.select("deck_id", F.when(F.col("oracle_id") == first, "command").otherwise("mainboard").alias("zone"), "oracle_id", "quantity")
 
 
 def occurrences(spark, d) -> DataFrame:
@@ -51,13 +52,25 @@ def q_near_clusters(spark, d):
     return decks.near_duplicate_clusters(deck_cards(spark, d), NEAR).select("cluster_id", F.col("component").alias("first_id"), F.concat_ws(",", "canonical_deck_ids").alias("canonical_deck_ids"))
 
 
-def memberships(spark, d) -> DataFrame:
-    """Exact, revision and near groups of the orders, written once: several steps read them."""
-    prints = written(printed(spark, d), "prints")
-    exact = prints.select(F.col("deck_id").alias("record_id"), F.concat(F.lit("exact:"), "fingerprint").alias("group_id"))
-    revision = decks.revision_groups(occurrences(spark, d)).select(F.explode("deck_ids").alias("record_id"), F.concat(F.lit("revision:"), "group_id").alias("group_id"))
-    near = decks.near_duplicate_clusters(deck_cards(spark, d), NEAR).select(F.explode("canonical_deck_ids").alias("fingerprint"), F.concat(F.lit("near:"), "cluster_id").alias("group_id"))
-    return written(exact.union(revision).union(prints.join(near, "fingerprint").select(F.col("deck_id").alias("record_id"), "group_id")), "memberships")
+def memberships(spark, d, every=False) -> DataFrame:
+    """Exact, revision and near groups of the orders, written once: several steps read them. Exact groups of one, which link
+    nothing, are there if `every` is true. Ids are bytes, a kind and a hash; named() gives their text, in the same order."""
+    kind = lambda k, c: F.concat(F.lit(bytes([k])), F.unhex(c)).alias("group_id")
+    near = written(decks.near_duplicate_clusters(deck_cards(spark, d), NEAR).select(F.explode("canonical_deck_ids").alias("fingerprint"), "cluster_id"), "near-groups")
+    near = near.select(F.unhex("fingerprint").alias("print"), kind(1, F.substring_index("cluster_id", "-", -1)))
+    prints = written(occurrences(spark, d).select("deck_id").join(decks.fingerprint(deck_cards(spark, d)), "deck_id").select(F.col("deck_id").alias("record_id"), F.unhex("fingerprint").alias("print")), "prints")
+    shared = prints if every else prints.join(prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1"), "print", "left_semi")
+    exact = shared.select("record_id", F.concat(F.lit(bytes([0])), "print").alias("group_id"))
+    revision = decks.revision_groups(occurrences(spark, d)).select(F.explode("deck_ids").alias("record_id"), kind(2, F.substring_index("group_id", "-", -1)))
+    out = written(exact.union(revision).union(prints.join(near, "print").select("record_id", "group_id")), "memberships")
+    forget(prints)
+    return out
+
+
+def named(group_id) -> Column:
+    text = F.lower(F.hex(group_id))
+    kinds = F.array(*[F.lit(x) for x in ("exact:", "near:near-", "revision:revision-")])
+    return F.concat(F.element_at(kinds, F.substring(text, 1, 2).cast("int") + 1), F.substring(text, 3, 1 << 20))
 
 
 def q_provisional(spark, d):
@@ -74,13 +87,13 @@ def q_split_counts(spark, d):
 
 def q_leakage(spark, d):
     """Groups that the provisional splits would tear apart."""
-    return splits.leakage(memberships(spark, d), q_provisional(spark, d)).select("group_id", F.concat_ws(",", "splits").alias("splits"))
+    return splits.leakage(memberships(spark, d), q_provisional(spark, d)).select(named("group_id").alias("group_id"), F.concat_ws(",", "splits").alias("splits"))
 
 
 def q_leakage_after(spark, d):
     """The same over promoted splits: none."""
     groups = memberships(spark, d)
-    return splits.leakage(groups, q_promoted(spark, d, groups)).select("group_id", F.concat_ws(",", "splits").alias("splits"))
+    return splits.leakage(groups, written(q_promoted(spark, d, groups), "promoted")).select(named("group_id").alias("group_id"), F.concat_ws(",", "splits").alias("splits"))
 
 
 def entries(spark, d) -> DataFrame:
@@ -253,9 +266,9 @@ def q_conflicts(spark, d):
 
 
 def q_completion_rows(spark, d):
-    groups = memberships(spark, d)
-    rows = datasets.completion_rows("orders", q_promoted(spark, d, groups).select("record_id", "split"), groups)
-    return rows.withColumn("group_ids", F.concat_ws(",", "group_ids"))
+    groups = memberships(spark, d, every=True)
+    rows = datasets.completion_rows("orders", written(q_promoted(spark, d, groups).select("record_id", "split"), "promoted"), groups)
+    return rows.withColumn("group_ids", F.concat_ws(",", F.transform("group_ids", named)))
 
 
 def q_reconciliation(spark, d):
@@ -303,8 +316,9 @@ def q_resolution_report(spark, d):
 
 
 def q_dedup_report(spark, d):
-    cards = deck_cards(spark, d)
-    return reports.deduplication_report(decks.exact_groups(printed(spark, d)), decks.revision_groups(occurrences(spark, d)), decks.near_duplicate_clusters(cards, NEAR), NEAR)
+    exact = written(decks.exact_groups(printed(spark, d)).drop("sources"), "exact-groups")
+    revisions = written(decks.revision_groups(occurrences(spark, d)).select("source_id"), "revision-groups")
+    return reports.deduplication_report(exact, revisions, decks.near_duplicate_clusters(deck_cards(spark, d), NEAR), NEAR)
 
 
 def q_finding_counts(spark, d):
@@ -385,7 +399,7 @@ def q_context(spark, d):
 def q_leakage_status(spark, d):
     groups = memberships(spark, d)
     events_of = t(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"), F.date_format("o_orderdate", "yyyy-MM").alias("event_id"))
-    return splits.leakage_status(groups, events_of, q_promoted(spark, d, groups))
+    return splits.leakage_status(groups, events_of, written(q_promoted(spark, d, groups), "promoted"))
 
 
 def q_zones(spark, d):
