@@ -20,6 +20,9 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CLASSES, MOST_ITEMS = 32, 256
 WIDTH, CONTEXT, STRIDE, BATCH = 16, 24, 16, 512
 LEAD = CONTEXT - STRIDE
+#: Windows that are computed at once, so that what they need stays in a core's cache, and windows that are scored at once.
+BLOCK, SCORED = 64, 4096
+LEAST_SUM, MOST_SUM = 1e-25, 1e25
 #: All windows of the training texts train the weights once: in so many rounds, by groups of about so many subwords a round.
 ROUNDS, GROUP, STEP, SEED = 4, 1 << 20, 0.02, 5
 #: Words whose counts every task holds, of those with a share of 1 / (20 * COMMON_WORDS) or more; the others' counts come by a join.
@@ -36,35 +39,38 @@ def tokens(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-class Subwords(dict):
-    """Subword ids, as bytes, by word; remembered up to a bound."""
+def kind_of(size: int):
+    return np.uint16 if size <= 1 << 16 else np.uint32
 
-    def __init__(self, path: str, most: int = 400_000):
+
+class Subwords:
+    """Subword ids of words, each split with one space before it."""
+
+    def __init__(self, path: str):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        super().__init__()
-        self.size, self.most, self.single = max(ranks.values()) + 1, most, ranks
-        self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
-        self.core = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe
-
-    def __missing__(self, word: bytes) -> bytes:
-        spaced = b" " + word
-        one = self.single.get(spaced)
-        ids = [one] if one is not None else [i for j in range(0, len(spaced), LONGEST_PIECE) for i in self.core.encode_single_piece(spaced[j : j + LONGEST_PIECE])]
-        got = self[word] = np.array(ids, self.kind).tobytes()
-        return got
+        self.size = max(ranks.values()) + 1
+        self.kind = kind_of(self.size)
+        # Without a special token, tiktoken looks for an empty one at every place.
+        self.core = tiktoken.Encoding("words", pat_str=r" [^ ]+", mergeable_ranks=ranks, special_tokens={"\0 never \0": self.size})._core_bpe
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.most:
-            self.clear()
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), self.kind)
+        try:
+            if max(map(len, words), default=LONGEST_PIECE) < LONGEST_PIECE:
+                return np.frombuffer(self.core.encode_to_tiktoken_buffer((b" " + b" ".join(words)).decode(), set()), np.uint32).astype(self.kind)
+        except UnicodeDecodeError:
+            pass
+        pieces = (w[j : j + LONGEST_PIECE] for w in (b" " + w for w in words) for j in range(0, len(w), LONGEST_PIECE))
+        return np.array([i for x in pieces for i in self.core.encode_single_piece(x)], self.kind)
 
 
 @lru_cache(maxsize=1)
 def subwords_of(path: str) -> Subwords:
-    """One table for all tasks of a Python worker."""
+    """One table for all tasks of a Python worker, which from now on keeps the memory of freed arrays: glibc returns less to
+    the system once a large block was freed, and new pages cost a quarter of the time of a window."""
+    np.empty(24 << 20, np.uint8)
     return Subwords(path)
 
 
@@ -99,32 +105,47 @@ def start(v: Vocabulary) -> dict[str, np.ndarray]:
     r = np.random.default_rng(SEED)
     f = lambda *s: (r.standard_normal(s) * 0.1).astype(np.float32)
     classes = np.add.reduceat(v.share, v.bounds[:-1])
-    return {
-        "E": f(v.bos + 1, WIDTH), "P": f(CONTEXT, WIDTH), "M": f(WIDTH, WIDTH), "N": f(WIDTH, WIDTH), "U": f(WIDTH, len(classes)), "W": f(v.unseen + 1, WIDTH),
-        "b": np.log(classes).astype(np.float32), "a": np.log(v.share / classes[v.cls]).astype(np.float32),
-    }
+    p = {"E": f(v.bos + 1, WIDTH), "P": f(CONTEXT, WIDTH), "M": f(WIDTH, WIDTH), "N": f(WIDTH, WIDTH), "U": f(WIDTH, len(classes)).T, "W": f(v.unseen + 1, WIDTH)}
+    p["U"] = np.column_stack([p["U"], np.log(classes).astype(np.float32)])  # what the state's last place, which is one, adds
+    p["W"] = np.column_stack([p["W"], np.log(v.share / classes[v.cls]).astype(np.float32)])
+    return p
 
 
 def attend(p, x):
-    """The state at the last STRIDE places of windows x, and what backward needs. M joins queries and keys, N values and output."""
+    """The state at the last STRIDE places of windows x with a one after it, and what backward needs. M joins queries and keys, N values and output."""
     h = p["E"].take(x, 0)
     h += p["P"]
     late = np.ascontiguousarray(h[:, LEAD:])
     q = (late.reshape(-1, WIDTH) @ p["M"]).reshape(late.shape)
-    e = q @ h.transpose(0, 2, 1)
+    e = q @ np.ascontiguousarray(h.transpose(0, 2, 1))
     np.clip(e, -60, 60, out=e)  # in place of taking off the largest: the exponentials stay finite
     np.exp(e, out=e)
     e *= SEES
     e /= (e.reshape(-1, CONTEXT) @ np.ones(CONTEXT, e.dtype)).reshape(*e.shape[:2], 1)
     o = (e @ h).reshape(-1, WIDTH)
-    return late.reshape(-1, WIDTH) + o @ p["N"], (h, late, q, e, o)
+    z = np.ones((len(o), WIDTH + 1), o.dtype)
+    np.add(late.reshape(-1, WIDTH), o @ p["N"], out=z[:, :WIDTH])
+    return z, (h, late, q, e, o)
+
 
+def fit(sums) -> bool:
+    """Whether all sums of exponentials are in range; if not, they are taken again less each row's largest logit."""
+    return sums.min() > LEAST_SUM and sums.max() < MOST_SUM
 
-def softmax(y):
-    """The exponentials of y and their sums."""
-    np.clip(y, -60, 60, out=y)
-    f = np.exp(y)
-    return f, f @ np.ones(f.shape[1], f.dtype)
+
+def log_shares(z, U, target):
+    """Natural logs of the targets' shares by logits z @ U.T."""
+    y = z @ U.T
+    at = np.arange(0, y.size, y.shape[1]) + target
+    own, one = y.reshape(-1).take(at), np.ones(y.shape[1], y.dtype)
+    np.exp(y, out=y)
+    sums = y @ one
+    if not fit(sums):
+        y = z @ U.T
+        y -= y.max(1, keepdims=True)
+        own = y.reshape(-1).take(at)
+        sums = np.exp(y) @ one
+    return own - np.log(sums)
 
 
 def by_class(v: Vocabulary, c: np.ndarray):
@@ -134,66 +155,86 @@ def by_class(v: Vocabulary, c: np.ndarray):
     return order, [(slice(at[k], at[k + 1]), v.bounds[k], v.bounds[k + 1]) for k in np.flatnonzero((np.diff(v.bounds) > 1) & (np.diff(at) > 0))]
 
 
+@np.errstate(over="ignore", invalid="ignore")
 def target_logs(p, v: Vocabulary, x, target) -> np.ndarray:
     """Natural logs of the targets' probabilities at the scored places: of its class, and of the item within it."""
     t = target.ravel()
     c = v.cls[t]
-    z, _ = attend(p, x)
-    y = z @ p["U"]
-    y += p["b"]
-    _, sums = softmax(y)
-    out = y[np.arange(len(y)), c] - np.log(sums)
+    z, out = np.empty((len(t), WIDTH + 1), p["U"].dtype), np.empty(len(t), p["U"].dtype)
+    for i in range(0, len(x), BLOCK):
+        at = slice(i * STRIDE, (i + BLOCK) * STRIDE)
+        z[at], _ = attend(p, x[i : i + BLOCK])
+        out[at] = log_shares(z[at], p["U"], c[at])
     order, parts = by_class(v, c)
-    z, out, t = z[order], out[order], t[order]
+    z, t, inner = z.take(order, 0), t.take(order), np.zeros_like(out)
     for at, lo, hi in parts:
-        y = z[at] @ p["W"][lo:hi].T
-        y += p["a"][lo:hi]
-        _, sums = softmax(y)
-        out[at] += y[np.arange(len(y)), t[at] - lo] - np.log(sums)
-    back = np.empty_like(out)
-    back[order] = out
-    return back
-
-
-def cross(z, U, b, target, scale):
-    """Of logits z @ U + b: the gradients for z, U and b of the scaled cross entropy against target."""
-    y = z @ U
-    y += b
-    g, sums = softmax(y)
-    g *= (scale / sums)[:, None]
-    g[np.arange(len(g)), target] -= scale
-    return g @ U.T, z.T @ g, np.ones(len(g), g.dtype) @ g
+        step = max(BLOCK, (BLOCK << 10) // (hi - lo))
+        for i in range(at.start, at.stop, step):
+            part = slice(i, min(i + step, at.stop))
+            inner[part] = log_shares(z[part], p["W"][lo:hi], t[part] - lo)
+    out[order] += inner
+    return out
 
 
+def cross(z, U, target, scale, parts):
+    """The gradients for z and U of the scaled cross entropy against target, by parts: of rows at, the logits are z[at] @ U[lo:hi].T."""
+    sums, gz = np.ones_like(scale), np.zeros_like(z)
+    for less in (False, True):
+        gU = np.zeros_like(U)
+        for at, lo, hi in parts:
+            own, rows = z[at], U[lo:hi]
+            y = own @ rows.T
+            if less:
+                y -= y.max(1, keepdims=True)
+            np.exp(y, out=y)
+            total = np.matmul(y, np.ones(hi - lo, y.dtype), out=sums[at])
+            y.reshape(-1)[np.arange(-lo, y.size - lo, hi - lo) + target[at]] -= total
+            np.matmul(y, rows, out=gz[at])
+            gU[lo:hi] += y.T @ (own * (scale[at] / total)[:, None])
+        if fit(sums):
+            break
+    gz *= (scale / sums)[:, None]
+    return gz, gU
+
+
+@np.errstate(over="ignore", invalid="ignore")
 def backward(p, v: Vocabulary, x, target, weight):
     """Gradients of the mean cross entropy of windows x against target, over places of weight 1; that of E as (items, rows)."""
     t = target.ravel()
     scale = (weight.ravel() / max(float(weight.sum()), 1.0)).astype(p["U"].dtype)
-    z, (h, late, q, e, o) = attend(p, x)
     c = v.cls[t]
-    gz, gU, gb = cross(z, p["U"], p["b"], c, scale)
-    grad = {"U": gU, "b": gb, "W": np.zeros_like(p["W"]), "a": np.zeros_like(p["a"])}
+    grad = {k: np.zeros_like(p[k]) for k in ("P", "M", "N")}
+    z, blocks, kept = np.empty((len(t), WIDTH + 1), p["U"].dtype), [slice(i, i + BLOCK) for i in range(0, len(x), BLOCK)], []
+    places = [slice(b.start * STRIDE, b.stop * STRIDE) for b in blocks]
+    for b, at in zip(blocks, places, strict=True):
+        z[at], held = attend(p, x[b])
+        kept.append(held)
+    gz, grad["U"] = cross(z, p["U"], c, scale, [(at, 0, len(p["U"])) for at in places])
     order, parts = by_class(v, c)
-    own, t, scale, inner = z[order], t[order], scale[order], np.zeros_like(z)
-    for at, lo, hi in parts:
-        inner[at], gW, grad["a"][lo:hi] = cross(own[at], p["W"][lo:hi].T, p["a"][lo:hi], t[at] - lo, scale[at])
-        grad["W"][lo:hi] = gW.T
-    gz[order] += inner
-    grad["N"] = o.T @ gz
-    go = (gz @ p["N"].T).reshape(late.shape)
-    gs = go @ h.transpose(0, 2, 1)
-    gh = e.transpose(0, 2, 1) @ go
-    gs *= e
-    gs -= e * (gs.reshape(-1, CONTEXT) @ np.ones(CONTEXT, gs.dtype)).reshape(*gs.shape[:2], 1)
-    gq = (gs @ h).reshape(-1, WIDTH)
-    gh += gs.transpose(0, 2, 1) @ q
-    grad["M"] = late.reshape(-1, WIDTH).T @ gq
-    gh[:, LEAD:] += (gz + gq @ p["M"].T).reshape(late.shape)
-    grad["P"] = gh.sum(0)
+    inner, grad["W"] = cross(z.take(order, 0), p["W"], t.take(order), scale.take(order), parts)
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    gz += inner.take(back, 0)
+    gh = np.empty((*x.shape, WIDTH), gz.dtype)
+    for b, at, (h, late, q, e, o) in zip(blocks, places, kept, strict=True):
+        g, to = np.ascontiguousarray(gz[at, :WIDTH]), gh[b]
+        grad["N"] += o.T @ g
+        go = (g @ p["N"].T).reshape(late.shape)
+        gs = go @ np.ascontiguousarray(h.transpose(0, 2, 1))
+        np.matmul(e.transpose(0, 2, 1), go, out=to)
+        gs *= e
+        gs -= e * (gs.reshape(-1, CONTEXT) @ np.ones(CONTEXT, gs.dtype)).reshape(*gs.shape[:2], 1)
+        gq = (gs @ h).reshape(-1, WIDTH)
+        to += gs.transpose(0, 2, 1) @ q
+        grad["M"] += late.reshape(-1, WIDTH).T @ gq
+        g += gq @ p["M"].T
+        to[:, LEAD:] += g.reshape(late.shape)
+        grad["P"] += to.sum(0)
     flat = x.ravel().astype(np.uint16 if v.bos < 1 << 16 else np.uint32)  # short integers are sorted by radix
     order = np.argsort(flat, kind="stable")
-    items, at = np.unique(flat[order], return_index=True)
-    grad["E"] = items.astype(np.intp), np.add.reduceat(gh.reshape(-1, WIDTH)[order], at, axis=0)
+    flat = flat.take(order)
+    at = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+    grad["E"] = flat[at].astype(np.intp), np.add.reduceat(gh.reshape(-1, WIDTH).take(order, 0), at, axis=0)
     return grad
 
 
@@ -208,12 +249,19 @@ class Adam:
         self.t += 1
         rate, root = self.step / (1 - 0.9**self.t), 1 / (1 - 0.99**self.t)
         for k, g in grad.items():
-            at, g = g if k == "E" else (slice(None), g)
-            m, v = self.m[k][at], self.v[k][at]
+            at, g = g if k == "E" else (None, g)
+            m, v, p = (a[k] if at is None else a[k].take(at, 0) for a in (self.m, self.v, self.p))
             m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            self.m[k][at], self.v[k][at] = m, v
-            self.p[k][at] -= rate * m / (np.sqrt(v * root) + 1e-8)
+            g *= g
+            v += 0.01 * (g - v)
+            g = v * root
+            np.sqrt(g, out=g)
+            g += 1e-8
+            np.divide(m, g, out=g)
+            g *= rate
+            p -= g
+            if at is not None:
+                self.m[k][at], self.v[k][at], self.p[k][at] = m, v, p
 
 
 def windows(v: Vocabulary, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -252,21 +300,18 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def count_subwords(words: DataFrame, path: str) -> np.ndarray:
-    """Counts of all subword ids, by the distinct words; as many rows as the vocabulary has come to the driver."""
+def count_subwords(encoded: DataFrame, size: int) -> np.ndarray:
+    """Counts of all subword ids in encoded(ids); as many rows as the vocabulary has come to the driver."""
 
     def run(batches):
-        s = subwords_of(path)
-        total = np.zeros(s.size, np.int64)
+        total = np.zeros(size, np.int64)
         for b in batches:
-            for w, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True):
-                np.add.at(total, s.ids([w]), c)
+            total += np.bincount(np.frombuffer(b"".join(b.column("ids").to_pylist()), kind_of(size)), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "c"])
 
-    got = words.mapInArrow(run, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).collect()
-    out = np.zeros(subwords_of(path).size, np.int64)
-    for r in got:
+    out = np.zeros(size, np.int64)
+    for r in encoded.select("ids").mapInArrow(run, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).collect():
         out[r.id] = r.c
     return out
 
@@ -285,33 +330,41 @@ def learnt_group(p, v: Vocabulary, texts: list[np.ndarray], step: float) -> tupl
     return adam.p, sum(len(x) + 1 for x in texts)
 
 
+def row_hash():
+    return F.xxhash64(F.col("doc_id").cast("string"), F.col("text")).alias("h")
+
+
 def train(docs: DataFrame, v: Vocabulary, targets: int, path: str) -> dict[str, np.ndarray]:
-    """Local training in ROUNDS rounds: a row's hash gives its round and group; each group starts from the last round's
+    """The weights that learn() gives for docs(doc_id, text)."""
+
+    def encode(batches):
+        s = subwords_of(path)
+        for b in batches:
+            ids = [s.ids(tokens(t)).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("h"), pa.array(ids, pa.binary())], names=["h", "ids"])
+
+    return learn(docs.select(row_hash(), F.col("text").cast("binary").alias("text")).mapInArrow(encode, "h long, ids binary"), v, targets)
+
+
+def learn(encoded: DataFrame, v: Vocabulary, targets: int) -> dict[str, np.ndarray]:
+    """Local training on encoded(h, ids) in ROUNDS rounds: a row's hash gives its round and group; each group starts from the last round's
     weights, goes once over its windows in the order of hashes and gives its weights, which are averaged by targets.
 
     Every window of every training text is read once. Rounds, groups and orders follow from the rows alone, so the
     weights don't depend on partitions. A group holds about GROUP subwords; their number grows with the corpus.
     """
-    spark = docs.sparkSession
+    spark = encoded.sparkSession
     groups = max(1, -(-targets // (ROUNDS * GROUP)))
     tasks = min(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))  # a task adds up its groups' weights before they are dealt
     p = start(v)
     names, shapes = list(p), {k: a.shape for k, a in p.items()}
     flat = np.concatenate([p[k].ravel() for k in names])
-    key = docs.select(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")).alias("h"), F.col("text").cast("binary").alias("text"))
-    key = key.select("*", F.pmod("h", F.lit(ROUNDS)).alias("r"), F.pmod(F.floor(F.col("h") / ROUNDS), F.lit(groups)).alias("g"))
-
-    def encode(batches):
-        s = subwords_of(path)
-        for b in batches:
-            ids = [s.ids(tokens(t)).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("g"), pa.array(ids, pa.binary())], names=["h", "g", "ids"])
-
-    width = np.uint16 if len(v.item) <= 1 << 16 else np.uint32
+    key = encoded.select("h", "ids", F.pmod("h", F.lit(ROUNDS)).alias("r"), F.pmod(F.floor(F.col("h") / ROUNDS), F.lit(groups)).alias("g"))
+    width = kind_of(len(v.item))
     for r in range(ROUNDS):
         now = spark.sparkContext.broadcast((flat, v))
 
-        def learn(batches, now=now, r=r):
+        def run(batches, now=now, r=r):
             flat, v = now.value
             p, at = {}, 0
             for k in names:
@@ -347,8 +400,8 @@ def train(docs: DataFrame, v: Vocabulary, targets: int, path: str) -> dict[str,
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([n for n, _ in held.values()], pa.int64()), pa.array([w.tobytes() for _, w in held.values()], pa.binary())], names=["i", "n", "w"])
 
-        texts = key.where(F.col("r") == r).select("h", "g", "text").mapInArrow(encode, "h long, g long, ids binary")
-        part = texts.repartition(tasks, "g").sortWithinPartitions("g", "h", "ids").select("g", "ids").mapInArrow(learn, "i int, n long, w binary")
+        texts = key.where(F.col("r") == r).select("h", "g", "ids")
+        part = texts.repartition(tasks, "g").sortWithinPartitions("g", "h", "ids").select("g", "ids").mapInArrow(run, "i int, n long, w binary")
         got = cut(part.repartition(PARTS, "i").mapInArrow(summed, "i int, n long, w binary"), "lm-weights")
         rows = sorted(got.collect(), key=lambda x: x.i)  # PARTS rows, as many bytes as the weights have
         forget(got)
@@ -380,44 +433,55 @@ def score(docs: DataFrame, held_out, path: str = TOKENIZER) -> DataFrame:
     n, v = total.n + ends, total.v + (ends > 0)
     base = math.log10(n + 0.5 * (v + 1))
     common = {bytes(r.word): math.log10(r.c + 0.5) for r in words.where(F.col("c") >= n / (20 * COMMON_WORDS)).orderBy(F.desc("c"), "word").limit(COMMON_WORDS).collect()}
-    counts = count_subwords(words, path)
-    voc = Vocabulary(counts, ends)
-    model = train(learnt, voc, int(counts.sum()) + ends, path)
-    shared = spark.sparkContext.broadcast((common, voc, model))
+    known = spark.sparkContext.broadcast(common)
     end = math.log10(ends + 0.5)
 
-    def run(batches):
-        s, (common, voc, p) = subwords_of(path), shared.value
+    def encode(batches):
+        s, common = subwords_of(path), known.value
         for whole in batches:
             for lo in range(0, whole.num_rows, SLICE):
-                b = whole.slice(lo, SLICE)
-                cols, texts = [[], [], [], []], []
+                b, cols = whole.slice(lo, SLICE), [[], [], [], [], []]
                 for t in b.column("text").to_pylist():
                     w = tokens(t)
                     logs = np.fromiter(map(common.get, w, repeat(math.nan)), np.float64, len(w))
-                    rare = np.flatnonzero(np.isnan(logs))
-                    known = len(w) - len(rare)
-                    cols[0].append(len(w) + 1)
-                    cols[1].append(known + (ends > 0))
-                    cols[2].append(float(np.nansum(logs)) + end - (known + 1) * base)
-                    cols[3].append([w[j] for j in rare])
-                    texts.append(voc.item[s.ids(w)])
-                x, y, m, owner = windows(voc, texts)
-                out = np.array([(x == voc.unseen).sum() for x in texts]) * voc.unseen_log
-                for i in range(0, len(x), BATCH):
-                    logs = target_logs(p, voc, x[i : i + BATCH], y[i : i + BATCH]).reshape(-1, STRIDE)
-                    out += np.bincount(owner[i : i + BATCH], (logs * m[i : i + BATCH]).sum(1, dtype=np.float64), len(out))
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()))
+                    rare = np.flatnonzero(np.isnan(logs)).tolist()
+                    held = len(w) - len(rare)
+                    row = len(w) + 1, held + (ends > 0), float(np.nansum(logs)) + end - (held + 1) * base, [w[j] for j in rare], s.ids(w).tobytes()
+                    for c, x in zip(cols, row, strict=True):
+                        c.append(x)
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("__rid"), b.column("doc_id"), b.column("held_out"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], pa.array(out / math.log(10))],
-                    names=["__rid", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "rare", "score"],
+                    [*(b.column(c) for c in ("__rid", "doc_id", "held_out", "h")), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]],
+                    names=["__rid", "doc_id", "held_out", "h", "n_tokens", "n_known", "base_score", "rare", "ids"],
                 )
 
-    shape = f"__rid long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, rare array<binary>, score double"
-    scored = cut(rows.select("__rid", "doc_id", "held_out", F.col("text").cast("binary").alias("text")).mapInArrow(run, shape), "lm-scored")
-    rare = scored.select("__rid", F.explode("rare").alias("word")).join(words, "word", "left")
+    shape = f"__rid long, doc_id {kind}, held_out boolean, h long, n_tokens long, n_known long, base_score double, rare array<binary>, ids binary"
+    encoded = cut(rows.select("__rid", "doc_id", "held_out", row_hash(), F.col("text").cast("binary").alias("text")).mapInArrow(encode, shape), "lm-ids")
+    counts = count_subwords(encoded.where("not held_out"), subwords_of(path).size)
+    voc = Vocabulary(counts, ends)
+    model = learn(encoded.where("not held_out"), voc, int(counts.sum()) + ends)
+    shared = spark.sparkContext.broadcast((voc, model))
+
+    def run(batches):
+        subwords_of(path)
+        voc, p = shared.value
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE):
+                b = whole.slice(lo, SLICE)
+                texts = [voc.item[np.frombuffer(x, kind_of(len(voc.item)))] for x in b.column("ids").to_pylist()]
+                x, y, m, owner = windows(voc, texts)
+                out = np.array([(x == voc.unseen).sum() for x in texts]) * voc.unseen_log
+                for i in range(0, len(x), SCORED):
+                    logs = target_logs(p, voc, x[i : i + SCORED], y[i : i + SCORED]).reshape(-1, STRIDE)
+                    out += np.bincount(owner[i : i + SCORED], (logs * m[i : i + SCORED]).sum(1, dtype=np.float64), len(out))
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(out / math.log(10))], names=[*names, "score"])
+
+    names = ["__rid", "doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+    shape = f"__rid long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    scored = cut(encoded.select(*names, "ids").mapInArrow(run, shape), "lm-scored")
+    rare = encoded.select("__rid", F.explode("rare").alias("word")).join(words, "word", "left")
     rest = rare.groupBy("__rid").agg(F.count("c").alias("k"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5)) - F.lit(base)).alias("b"))
-    out = scored.drop("rare").join(rest, "__rid", "left")
+    out = scored.join(rest, "__rid", "left")
     return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("b", F.lit(0.0))).alias("base_score"), "score")
 
 

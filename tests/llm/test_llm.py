@@ -531,6 +531,46 @@ def test_lm_model():
     assert np.allclose(a[:, : 20 - lm.LEAD], b[:, : 20 - lm.LEAD]) and not np.allclose(a, b)
 
 
+def test_lm_large_logits():
+    """Gradients agree with differences and probabilities add up to one for logits far beyond what exponentials hold."""
+    r = np.random.default_rng(4)
+    v = vocabulary(r)
+    p = {k: a.astype(np.float64) for k, a in lm.start(v).items()}
+    p["U"], p["W"] = p["U"] * 60, p["W"] * 60
+    x, y, w, _ = lm.windows(v, [r.integers(0, v.unseen + 1, 100)])
+    logs = np.array([lm.target_logs(p, v, x[2:3], np.full((1, lm.STRIDE), i)) for i in range(v.unseen + 1)])
+    assert logs.min() < -60 and np.allclose(np.exp(logs).sum(0), 1)
+    grad = lm.backward(p, v, x, y, w)
+    loss = lambda: -(lm.target_logs(p, v, x, y) * w.ravel()).sum() / w.sum()
+    for k in ("U", "W"):
+        for i in zip(*np.unravel_index(np.argsort(-abs(grad[k]), axis=None)[:20], grad[k].shape), strict=True):
+            p[k][i] += 1e-5
+            up = loss()
+            p[k][i] -= 2e-5
+            down = loss()
+            p[k][i] += 1e-5
+            assert (up - down) / 2e-5 == pytest.approx(grad[k][i], rel=0.02, abs=1e-6)
+
+
+def test_lm_subwords():
+    """Whole texts are split as their words are one by one."""
+    s = lm.Subwords(lm.TOKENIZER)
+    for text in ("", "the whole job", "zqxj\u00a0v\u3000w | 日本語 <|endoftext|> \0 never \0", "a " * 300 + "b" * 2000 + " é" * 600):
+        for words in (lm.tokens(text.encode()), lm.tokens(text.encode()) + [b"\xff\xfe"]):
+            cuts = [x[i : i + lm.LONGEST_PIECE] for x in (b" " + w for w in words) for i in range(0, len(x), lm.LONGEST_PIECE)]
+            assert s.ids(words).tolist() == [i for c in cuts for i in s.core.encode_single_piece(c)]
+
+
+def test_lm_splits_once(spark, monkeypatch):
+    """Each text is split into subwords once, for counts, training and scores."""
+    made = []
+    monkeypatch.setattr(lm, "cut", lambda df, tag: made.append((tag, c := cut(df, tag))) or c)
+    df = spark.createDataFrame([(1, "one two"), (2, None), (3, "one two")], "doc_id long, text string")
+    assert lm.score(df, F.col("doc_id") == 2).count() == 3
+    ids = [c for tag, c in made if tag == "lm-ids"]
+    assert len(ids) == 1 and sorted(len(r.ids) > 0 for r in ids[0].collect()) == [False, True, True]
+
+
 def test_parities_bound_differences():
     """Bins whose parities differ are never more than the shingles that differ, for sets of unlike sizes too."""
     r = np.random.default_rng(3)
