@@ -306,7 +306,9 @@ def count_subwords(encoded: DataFrame, size: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(size, np.int64)
         for b in batches:
-            total += np.bincount(np.frombuffer(b"".join(b.column("ids").to_pylist()), kind_of(size)), minlength=size)
+            for lo in range(0, b.num_rows, SLICE):
+                ids = b"".join(b.column("ids").slice(lo, SLICE).to_pylist())
+                total += np.bincount(np.frombuffer(ids, kind_of(size)), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "c"])
 
